@@ -1,0 +1,30 @@
+"""Joins that stay balanced when a few keys hold most of the rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: A key is hot from this share of the left rows on, so there can be at most 1/HOT_SHARE hot keys.
+HOT_SHARE = 1 / 500
+
+
+def hot_keys(frame: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
+    """The non-null values of `key` that hold more than `share` of the frame's rows: at most 1/share rows."""
+    counts = frame.groupBy(key).agg(F.count("*").alias("_n"))
+    total = counts.agg(F.sum("_n")).scalar()
+    return counts.where(F.col(key).isNotNull() & (F.col("_n") > share * total)).select(key)
+
+
+def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", share: float = HOT_SHARE) -> DataFrame:
+    """left joined to right on `key`, which both name so and of which right has at most one row each.
+
+    Rows of hot keys meet their partner by a broadcast, whose size 1/share bounds; only the others are shuffled. `how` is inner,
+    left, left_semi or left_anti. A null key has no partner.
+    """
+    hot = hot_keys(left, key, share)
+    marked = left.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
+    partners = right.join(F.broadcast(hot), key, "left_semi")
+    few = marked.where("_hot").drop("_hot").join(F.broadcast(partners), key, how)
+    rest = marked.where("_hot IS NULL").drop("_hot").join(right, key, how)
+    return rest.unionByName(few)
