@@ -1,7 +1,7 @@
 """Orphan references: records that refer to others which are missing, deleted or arrive later.
 
 A foreign-key graph is given as a list of references. References without a usable target are direct orphans. Whatever refers to
-an orphaned record is orphaned too; semi-joins carry that down the graph until no new record is reached.
+an orphaned record is orphaned too; semi-joins carry that down the graph until they reach no new record.
 """
 
 from __future__ import annotations
@@ -74,35 +74,38 @@ def direct_orphans(tables: Mapping[str, DataFrame], targets: Mapping[str, Target
     return reduce(DataFrame.unionByName, map(of, references))
 
 
-def orphan_cascade(tables: Mapping[str, DataFrame], targets: Mapping[str, Target], references: Sequence[Reference], max_depth: int = 1000) -> DataFrame:
+def orphan_cascade(tables: Mapping[str, DataFrame], targets: Mapping[str, Target], references: Sequence[Reference], max_rounds: int = 60) -> DataFrame:
     """(table, key, ref_field, ref, period, reason, kind, depth): direct orphan references, and those inherited from them.
 
-    A record with a direct orphan reference is orphaned at depth 0. A reference to a record orphaned at depth d, by a record not
-    reached yet, is an inherited orphan of depth d + 1 with the reason `orphaned`; that goes on to the fixpoint, through cycles
-    too. Only a deleted, missing or late record is unusable in itself, so a record's own references don't make it a direct
-    reason for others. Empty tables give no rows; null keys and references are none; further columns don't matter.
+    A record with a direct orphan reference is orphaned at depth 0, one that refers to a record of depth d, and to none above, at
+    depth d + 1. A reference to an orphaned record that isn't a direct orphan is an inherited one: its reason is `orphaned`, its
+    depth the target's plus 1. Cycles end by themselves. Empty tables give no rows; null keys and references are none; further
+    columns don't matter.
+
+    The semi-joins down the graph go 1, 2, 4, ... references at a time: after round k all records of a depth under 2^k are known,
+    and the hops of 2^k references between the others are joined to hops of twice that length. So a chain of a million
+    references takes 20 rounds, and each round has fewer records than the one before.
     """
-    direct = direct_orphans(tables, targets, references).withColumns({"kind": F.lit("direct"), "depth": F.lit(0)})
-    found = materialised(direct)
-    reached = frontier = found.select("table", "key").distinct()
-    parts = [found]
+    direct = materialised(direct_orphans(tables, targets, references).withColumns({"kind": F.lit("direct"), "depth": F.lit(0)}))
     inner = [r for r in references if r.target in {x.table for x in references}]
-    for depth in range(1, max_depth + 1):
-        steps = []
-        for r in inner:
-            there = frontier.where(F.col("table") == r.target).select(F.col("key").alias("ref"))
-            hit = lookup_join(_links(tables[r.table], r), there, "ref", "left_semi")
-            steps.append(hit.select(F.lit(r.table).alias("table"), "key", F.lit(r.field).alias("ref_field"), "ref", F.date_format("created", "yyyy-MM").alias("period")))
-        if not steps:
-            break
-        new = reduce(DataFrame.unionByName, steps).join(reached, ["table", "key"], "left_anti")
-        new = materialised(new.withColumns({"reason": F.lit("orphaned"), "kind": F.lit("inherited"), "depth": F.lit(depth)}))
+    if not inner:
+        return direct
+    node = lambda name, key: F.struct(F.lit(name).alias("t"), F.col(key).alias("k"))
+    links = reduce(DataFrame.unionByName, (_links(tables[r.table], r).select(node(r.table, "key").alias("child"), node(r.target, "ref").alias("up"), F.lit(r.field).alias("ref_field"), "created") for r in inner))
+    links = materialised(links)
+    reached = direct.select(F.struct(F.col("table").alias("t"), F.col("key").alias("k")).alias("up"), "depth").groupBy("up").agg(F.min("depth").alias("depth"))
+    known = reached
+    hops = links.select("child", "up").distinct().join(reached.select(F.col("up").alias("child")), "child", "left_anti")
+    for k in range(max_rounds):
+        met = materialised(lookup_join(hops, known, "up", "left"))
+        new = met.where("depth IS NOT NULL").groupBy(F.col("child").alias("up")).agg((F.min("depth") + 2**k).cast("int").alias("depth"))
         if new.isEmpty():
             break
-        parts.append(new)
-        frontier = new.select("table", "key").distinct()
-        reached = reached.unionByName(frontier)
-    return reduce(DataFrame.unionByName, parts)
+        known = materialised(known.unionByName(new))
+        rest = met.drop("depth").join(new.select(F.col("up").alias("child")), "child", "left_anti")
+        hops = rest.join(met.select(F.col("child").alias("up"), F.col("up").alias("further")), "up").select("child", F.col("further").alias("up")).distinct()
+    inherited = lookup_join(links, known, "up").select(F.col("child.t").alias("table"), F.col("child.k").alias("key"), "ref_field", F.col("up.k").alias("ref"), F.date_format("created", "yyyy-MM").alias("period"), F.lit("orphaned").alias("reason"), F.lit("inherited").alias("kind"), (F.col("depth") + 1).alias("depth"))
+    return direct.unionByName(inherited.join(direct, ["table", "key", "ref_field", "ref"], "left_anti"))
 
 
 def orphan_report(orphans: DataFrame) -> DataFrame:

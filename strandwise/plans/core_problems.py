@@ -90,7 +90,7 @@ def _links_sql(r: Reference) -> str:
 
 def _direct_sql() -> str:
     parts = [
-        f"""SELECT '{r.table}' AS "table", l.key, '{r.field}' AS ref_field, strftime(l.created, '%Y-%m') AS period,
+        f"""SELECT '{r.table}' AS "table", l.key, '{r.field}' AS ref_field, l.ref, strftime(l.created, '%Y-%m') AS period,
         CASE WHEN t.uid IS NULL THEN 'missing' WHEN t.gone THEN 'deleted' WHEN t.seen > l.created THEN 'late' END AS reason
         FROM ({_links_sql(r)}) l LEFT JOIN ({_states_sql(r.target, TARGETS[r.target])}) t ON t.uid = l.ref"""
         for r in REFERENCES
@@ -103,11 +103,11 @@ def _report_sql() -> str:
     links = " UNION ALL ".join(f"""SELECT '{r.table}' AS "table", key, '{r.field}' AS ref_field, '{r.target}' AS target, ref, strftime(created, '%Y-%m') AS period FROM ({_links_sql(r)})""" for r in inner)
     return f"""WITH RECURSIVE direct AS ({_direct_sql()}), links AS ({links}),
         walk AS (SELECT DISTINCT "table", key, 0 AS depth FROM direct
-                 UNION SELECT l."table", l.key, w.depth + 1 FROM walk w JOIN links l ON l.target = w."table" AND l.ref = w.key WHERE w.depth < 60),
+                 UNION SELECT l."table", l.key, w.depth + 1 FROM walk w JOIN links l ON l.target = w."table" AND l.ref = w.key WHERE w.depth < 500),
         reached AS (SELECT "table", key, min(depth) AS depth FROM walk GROUP BY "table", key),
         orphans AS (SELECT "table", key, ref_field, period, reason, 'direct' AS kind, 0 AS depth FROM direct
-                 UNION ALL SELECT l."table", l.key, l.ref_field, l.period, 'orphaned', 'inherited', c.depth FROM links l JOIN reached c ON c."table" = l."table" AND c.key = l.key
-                 JOIN reached p ON p."table" = l.target AND p.key = l.ref WHERE c.depth = p.depth + 1)
+                 UNION ALL SELECT l."table", l.key, l.ref_field, l.period, 'orphaned', 'inherited', p.depth + 1 FROM links l JOIN reached p ON p."table" = l.target AND p.key = l.ref
+                 WHERE NOT EXISTS (SELECT 1 FROM direct d WHERE d."table" = l."table" AND d.key = l.key AND d.ref_field = l.ref_field AND d.ref = l.ref))
         SELECT "table", ref_field, period, reason, kind, count(*) AS n_refs, count(DISTINCT key) AS n_records, max(depth)::INTEGER AS deepest FROM orphans GROUP BY ALL"""
 
 
