@@ -8,11 +8,40 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandwise.llm.components import connected_components
+from strandwise.llm.consensus import base_tokens, score_tokens, survivors
 from strandwise.llm.near_duplicates import NearDuplicates
 from strandwise.plans.skew import lookup_join
 from strandwise.plans.stages import as_bigint, materialised, table
 
 
+MOLECULE = ["lib_uid", "seq_id"]
+
+
+def _survivors(spark: SparkSession, folder: str, measure: str) -> DataFrame:
+    """One row per molecule loaded under several uids, with the survivor of each field."""
+    strings = table(spark, folder, "sequence_strings", "uid", *MOLECULE, "v_seq", "c_seq", "loaded_at")
+    scores = table(spark, folder, "quality_scores", "uid", *MOLECULE, "quality_scores", "loaded_at")
+    known = strings.where("lib_uid IS NOT NULL AND seq_id IS NOT NULL AND uid IS NOT NULL")
+    groups = materialised(known.groupBy(*MOLECULE).agg(F.min("uid").alias("low"), F.max("uid").alias("high")).where("low < high").select(F.struct(*MOLECULE).alias("key")))
+    within = lambda rows: lookup_join(rows.withColumn("key", F.struct(*MOLECULE)), groups, "key", "left_semi")
+    strings, scores = materialised(within(strings)), within(scores)
+    v = survivors(strings, MOLECULE, "v_seq", base_tokens("v_seq"), "N", measure)
+    c = survivors(strings, MOLECULE, "c_seq", base_tokens("c_seq"), "N", measure)
+    q = survivors(scores, MOLECULE, "quality_score", score_tokens("quality_scores"), "#", measure)
+    return v.join(c, "key").join(q, "key", "left")
+
+
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    uids = [as_bigint(f"{f}_uid").alias(f"{f}_uid") for f in ("v_seq", "c_seq", "quality_score")]
+    return _survivors(spark, folder, "coverage").select("key.lib_uid", "key.seq_id", *uids)
+
+
+def p2_records(spark: SparkSession, folder: str) -> DataFrame:
+    """The records built by consensus, beside the existing values that agree best with them."""
+    out = _survivors(spark, folder, "agreement")
+    return out.select("key.lib_uid", "key.seq_id", *(c for f in ("v_seq", "c_seq", "quality_score") for c in (as_bigint(f"{f}_uid").alias(f"{f}_uid"), f"{f}_distance", f"{f}_consensus")))
+
+
 def _near_duplicates(spark: SparkSession, folder: str) -> NearDuplicates:
     return NearDuplicates(table(spark, folder, "sequence_strings", "uid", "v_seq", "d_seq", "j_seq"), "uid", ["v_seq", "d_seq", "j_seq"])
 
@@ -56,9 +85,22 @@ _P5 = """WITH RECURSIVE uids AS (SELECT DISTINCT CAST(uid AS BIGINT) AS uid FROM
     r AS (SELECT a AS uid, a AS g FROM s UNION SELECT s.b, r.g FROM r JOIN s ON s.a = r.uid),
     found AS (SELECT uid, min(g) AS group_uid FROM r GROUP BY uid)"""
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: q for q in (p4_found, p4_classes, p5_found, p5_lineage_agreement)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: q for q in (p2_found, p2_records, p4_found, p4_classes, p5_found, p5_lineage_agreement)}
+
+
+def _best_sql(rows: str, count: str) -> str:
+    return f"""SELECT lib_uid, seq_id, uid FROM (SELECT lib_uid, seq_id, uid, row_number() OVER (PARTITION BY lib_uid, seq_id
+        ORDER BY {count} DESC, coalesce(loaded_at::TIMESTAMP, TIMESTAMP '0001-01-01') DESC, uid) AS r FROM {rows} WHERE lib_uid IS NOT NULL AND seq_id IS NOT NULL AND uid IS NOT NULL) WHERE r = 1"""
+
+
+_P2 = f"""WITH m AS (SELECT lib_uid, seq_id FROM sequence_strings WHERE lib_uid IS NOT NULL AND seq_id IS NOT NULL GROUP BY lib_uid, seq_id HAVING count(DISTINCT uid) > 1),
+    v AS ({_best_sql("sequence_strings", "length(regexp_replace(coalesce(v_seq, ''), '[^ACGTacgt]', '', 'g'))")}),
+    c AS ({_best_sql("sequence_strings", "length(regexp_replace(coalesce(c_seq, ''), '[^ACGTacgt]', '', 'g'))")}),
+    q AS ({_best_sql("quality_scores", "length(regexp_replace(coalesce(quality_scores, ''), '[^$-}]', '', 'g'))")})"""
 
 SQL: dict[str, str] = {
+    "p2_found": f"""{_P2} SELECT m.lib_uid, m.seq_id, CAST(v.uid AS BIGINT) AS v_seq_uid, CAST(c.uid AS BIGINT) AS c_seq_uid, CAST(q.uid AS BIGINT) AS quality_score_uid
+        FROM m JOIN v USING (lib_uid, seq_id) JOIN c USING (lib_uid, seq_id) LEFT JOIN q USING (lib_uid, seq_id)""",
     "p5_found": f"{_P5} SELECT uid, group_uid FROM found",
     "p5_lineage_agreement": f"""{_P5}, g AS (SELECT u.uid, coalesce(f.group_uid, u.uid) AS group_uid FROM uids u LEFT JOIN found f USING (uid)),
         rows AS (SELECT DISTINCT g.uid, g.group_uid, s.lineage_uid FROM sequences s JOIN g ON g.uid = s.uid)
