@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,19 +14,47 @@ from pyspark.sql import functions as F
 #: Used only where the session names no checkpoint folder, as in tests on one machine.
 LOCAL_FOLDER = os.path.join(tempfile.gettempdir(), "strandwise-checkpoints")
 
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def checkpoint_folder(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir, which all executors share; one of this machine where the setting is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(folder or LOCAL_FOLDER)
-    return folder or LOCAL_FOLDER
+    return (spark.conf.get("spark.checkpoint.dir", None) or LOCAL_FOLDER).rstrip("/")
+
+
+_cleared: set[str] = set()
+
+
+def _clear_at_exit(spark: SparkSession, folder: str) -> None:
+    """Has the tables of this application deleted when the interpreter ends."""
+    if folder not in _cleared:
+        _cleared.add(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        file_system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+        def delete() -> None:
+            with contextlib.suppress(Exception):  # the session may be gone by then
+                file_system.delete(path, True)
+
+        atexit.register(delete)
 
 
 def materialised(frame: DataFrame) -> DataFrame:
-    """The frame's rows, written once to the shared folder; later reads don't compute them again, also after executors are lost."""
-    checkpoint_folder(frame.sparkSession)
-    return frame.checkpoint(eager=True)
+    """The frame's rows, written once as a table to the shared folder; later reads don't compute them again, also after executors are lost.
+
+    Parquet there takes a fraction of the room of a checkpoint, and its readers skip the columns they don't need.
+    """
+    spark = frame.sparkSession
+    folder = f"{checkpoint_folder(spark)}/strandwise-{spark.sparkContext.applicationId}"
+    _clear_at_exit(spark, folder)
+    path = f"{folder}/{uuid.uuid4().hex}"
+    before = spark.conf.get(_DROP_SHUFFLES, None)
+    spark.conf.set(_DROP_SHUFFLES, "true")  # the table stands in for the shuffle files that led to it
+    try:
+        frame.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(_DROP_SHUFFLES) if before is None else spark.conf.set(_DROP_SHUFFLES, before)
+    return spark.read.schema(frame.schema).parquet(path)
 
 
 def shuffle_width(spark: SparkSession) -> int:
