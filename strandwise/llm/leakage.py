@@ -180,8 +180,8 @@ def leaks(documents: DataFrame, items: DataFrame, share: float = SHARE) -> DataF
 
     shared = pairs.select("doc_id", "item_id").distinct().join(hits.select("doc_id", "gram").distinct(), "doc_id").join(known.select("item_id", "gram", "places", "n_words"), ["item_id", "gram"])
     order = shared.groupBy("doc_id", "item_id").agg(F.max("n_words").alias("n_words"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("places")))).alias("p"))
-    steps = F.zip_with(F.slice("p", 2, F.greatest(F.size("p") - 1, F.lit(1))), F.slice("p", 1, F.greatest(F.size("p") - 1, F.lit(1))), lambda b, a: F.least(b - a, F.lit(RUN)))
-    covered = F.aggregate(steps, F.lit(RUN), lambda s, d: s + F.coalesce(d, F.lit(0)))
+    steps = F.zip_with(F.slice("p", 2, F.greatest(F.size("p") - 1, F.lit(1))), F.slice("p", 1, F.greatest(F.size("p") - 1, F.lit(1))), lambda b, a: F.when(b.isNotNull(), F.least(b - a, F.lit(RUN))).otherwise(0))
+    covered = F.aggregate(steps, F.lit(RUN), lambda s, d: s + d)
     return best.join(order.select("doc_id", "item_id", covered.alias("covered"), "n_words"), ["doc_id", "item_id"])
 
 
