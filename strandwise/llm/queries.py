@@ -12,6 +12,7 @@ from strandwise.llm.consensus import base_tokens, score_tokens, survivors
 from strandwise.llm.leakage import leaked, leaks
 from strandwise.llm.mixture import mix, shares, source_name, token_counts
 from strandwise.llm.near_duplicates import NearDuplicates
+from strandwise.llm.residue import residue
 from strandwise.plans.skew import lookup_join
 from strandwise.plans.stages import as_bigint, materialised, table
 
@@ -103,13 +104,21 @@ def p7_shares(spark: SparkSession, folder: str) -> DataFrame:
     return shares(*_mixture(spark, folder))
 
 
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    return residue(table(spark, folder, "documents", "doc_id", "text")).select("doc_id")
+
+
+def p8_records(spark: SparkSession, folder: str) -> DataFrame:
+    return residue(table(spark, folder, "documents", "doc_id", "text")).withColumn("best", F.round("best", 3))
+
+
 _P5 = """WITH RECURSIVE uids AS (SELECT DISTINCT CAST(uid AS BIGINT) AS uid FROM sequences WHERE uid IS NOT NULL),
     e AS (SELECT DISTINCT CAST(uid_a AS BIGINT) AS a, CAST(uid_b AS BIGINT) AS b FROM pair_matches WHERE is_match AND uid_a <> uid_b AND uid_a IN (SELECT uid FROM uids) AND uid_b IN (SELECT uid FROM uids)),
     s AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
     r AS (SELECT a AS uid, a AS g FROM s UNION SELECT s.b, r.g FROM r JOIN s ON s.a = r.uid),
     found AS (SELECT uid, min(g) AS group_uid FROM r GROUP BY uid)"""
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: q for q in (p2_found, p2_records, p4_found, p4_classes, p5_found, p5_lineage_agreement, p6_found, p6_scores, p7_mixture, p7_shares)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: q for q in (p2_found, p2_records, p4_found, p4_classes, p5_found, p5_lineage_agreement, p6_found, p6_scores, p7_mixture, p7_shares, p8_found, p8_records)}
 
 
 def _best_sql(rows: str, count: str) -> str:
