@@ -1,9 +1,11 @@
-"""Column functions on nucleotide sequences, quality strings, labels and keys. All stay inside the JVM."""
+"""Column functions on nucleotide sequences, quality strings, labels and keys. All but the anchor search stay inside the JVM."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -122,10 +124,21 @@ def node_size(abundance: Column) -> Column:
 
 def best_anchor(c: Column, anchor: str, most: int) -> Column:
     """0-based place of the anchor's best match with at most so many mismatches, of equal ones the last; null without one."""
-    n = F.length(c) - len(anchor)
-    at = lambda i: F.struct(hamming(F.substring(c, i + 1, F.lit(len(anchor))), F.lit(anchor)).alias("d"), (-i).alias("p"))
-    best = F.array_min(F.transform(F.sequence(F.lit(0), n), at))
-    return F.when((n >= 0) & (best["d"] <= most), -best["p"])
+
+    @F.pandas_udf("int")
+    def place(texts: pd.Series) -> pd.Series:
+        want, out = np.frombuffer(anchor.encode(), np.uint8), []
+        for text in texts:
+            raw = np.frombuffer((text or "").encode("latin-1", "replace"), np.uint8)
+            if len(raw) < len(want):
+                out.append(None)
+                continue
+            d = (np.lib.stride_tricks.sliding_window_view(raw, len(want)) != want).sum(1)
+            best = len(d) - 1 - int(d[::-1].argmin())
+            out.append(best if d[best] <= most else None)
+        return pd.Series(out, dtype="Int32")
+
+    return place(c)
 
 
 def read_label(c: Column) -> Column:

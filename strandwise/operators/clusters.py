@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def blocked_pairs(rows: DataFrame, block: Sequence[str], key: str, keep: Sequence[str]) -> DataFrame:
@@ -48,10 +49,17 @@ def masked(sequence: Column, quality: Column, least: int) -> Column:
     return F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(1), n), at), "")).otherwise("")
 
 
-def masked_distance(a: Column, b: Column) -> Column:
-    """Differing called places over the called places of the text that has fewer; null if that has none."""
-    n = F.least(F.length(a), F.length(b))
-    one = lambda t, i: F.substring(t, i, F.lit(1))
-    differ = lambda i: (one(a, i) != one(b, i)) & (one(a, i) != "N") & (one(b, i) != "N")
-    called = lambda t: F.length(F.replace(t, F.lit("N"), F.lit("")))
-    return F.try_divide(F.when(n > 0, F.aggregate(F.sequence(F.lit(1), n), F.lit(0), lambda s, i: s + F.when(differ(i), 1).otherwise(0))).otherwise(0), F.least(called(a), called(b)))
+@F.pandas_udf(T.DoubleType())
+def masked_distance(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Differing called places over the called places of the text that has fewer; null if that has none, or a text is null."""
+    unknown, out = ord("N"), []
+    for x, y in zip(a, b, strict=True):
+        if x is None or y is None:
+            out.append(None)
+            continue
+        u, v = (np.frombuffer(t.encode("latin-1", "replace"), np.uint8) for t in (x, y))
+        n = min(len(u), len(v))
+        called = min(int((u != unknown).sum()), int((v != unknown).sum()))
+        differ = (u[:n] != v[:n]) & (u[:n] != unknown) & (v[:n] != unknown)
+        out.append(int(differ.sum()) / called if called else None)
+    return pd.Series(out, dtype="float64")
