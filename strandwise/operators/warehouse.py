@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandwise.plans.stages import materialised, shuffle_width
+
 
 def split_by_quality(rows: DataFrame) -> DataFrame:
     """The rows with a column `reason`: nonproductive, lowconf (a single molecule read once) or ok, the first that holds."""
@@ -54,3 +56,18 @@ def merge_features(target: DataFrame, new: DataFrame, keys: Sequence[str], value
 def numbered(rows: DataFrame, group: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
     """Rows numbered from 0 within each group."""
     return rows.withColumn(name, F.row_number().over(Window.partitionBy(*group).orderBy(*order)) - 1)
+
+
+def numbered_by_ranges(rows: DataFrame, group: str, order: str, name: str) -> DataFrame:
+    """The rows with their number from 0 within their group, by `order`, which is distinct within it; a null group is one like others.
+
+    The rows are sorted by ranges, each as a task, and numbered in two steps: within a range, then offset by the group's rows in the ranges before.
+    """
+    width = shuffle_width(rows.sparkSession)
+    ranged = materialised(rows.repartitionByRange(width, group, order).withColumn("_part", F.spark_partition_id()))
+    counts = ranged.groupBy(group, "_part").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(F.col(group).alias("_g"), F.col("_part").alias("_p"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))  # a row per range and group in it
+    ranked = ranged.withColumn("_r", F.row_number().over(Window.partitionBy("_part", group).orderBy(order)))
+    joined = ranked.join(offsets, F.col(group).eqNullSafe(F.col("_g")) & (F.col("_part") == F.col("_p")))
+    return joined.withColumn(name, F.col("_before") + F.col("_r") - 1).drop("_part", "_r", "_g", "_p", "_before")

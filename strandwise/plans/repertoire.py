@@ -212,22 +212,19 @@ def reads_per_molecule(spark: SparkSession, folder: str) -> DataFrame:
 _PAIRS = f"""(SELECT a.barcode, a.pair_no AS i, b.pair_no AS j, hamming(a.seq1, b.seq1) AS d FROM {_READS} a JOIN {_READS} b ON a.barcode = b.barcode AND a.pair_no < b.pair_no)"""
 
 
-def _barcode_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    pairs = clusters.blocked_pairs(reads(spark, folder), ["barcode"], "pair_no", ["seq1"])
-    return pairs.select("barcode", "i", "j", S.hamming(F.col("seq1_i"), F.col("seq1_j")).cast("bigint").alias("d"))
-
-
 @query(f"SELECT barcode, i, j, d FROM {_PAIRS} WHERE d <= 6")
 def barcode_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    return _barcode_pairs(spark, folder).where("d <= 6")
+    rows = materialised(reads(spark, folder).select("barcode", "pair_no", "seq1"))
+    near = clusters.distances(rows, ["barcode"], "pair_no", "seq1", 7, masking=False).select("i", "j", F.col("d").cast("bigint").alias("d"))
+    return near.join(rows.select("barcode", F.col("pair_no").alias("i")), "i").select("barcode", "i", "j", "d")
 
 
 @query(f"""WITH RECURSIVE e AS (SELECT i AS a, j AS b FROM {_PAIRS} WHERE d <= 6 UNION SELECT j, i FROM {_PAIRS} WHERE d <= 6), r AS (SELECT a AS node, a AS g FROM e UNION SELECT e.b, r.g FROM r JOIN e ON e.a = r.node)
     SELECT p.pair_no, p.barcode, coalesce(g.label, p.pair_no) AS label FROM {_READS} p LEFT JOIN (SELECT node, min(g) AS label FROM r GROUP BY node) g ON g.node = p.pair_no""")
 def barcode_split(spark: SparkSession, folder: str) -> DataFrame:
-    labels = clusters.block_components(_barcode_pairs(spark, folder).where("d <= 6"), ["barcode"])
-    rows = reads(spark, folder).select("pair_no", "barcode")
-    return rows.join(labels.withColumnRenamed("node", "pair_no"), "pair_no", "left").select("pair_no", "barcode", F.coalesce("label", "pair_no").alias("label"))
+    rows = materialised(reads(spark, folder).select("pair_no", "barcode", "seq1"))
+    labels = clusters.linkage(rows, ["barcode"], "pair_no", "seq1", 7, masking=False)
+    return rows.select("pair_no", "barcode").join(labels.withColumnRenamed("key", "pair_no"), "pair_no")
 
 
 _LOG = " , ".join(f"round(coalesce(sum(CASE WHEN base IN ('A', 'C', 'G', 'T') THEN CASE WHEN base = '{b}' THEN ln(greatest(1 - e, 1e-300)) ELSE ln(greatest(e / 3, 1e-300)) END END), 0), 9) AS l{b}" for b in "ACGT")
@@ -288,32 +285,30 @@ _DIST = f"""(SELECT a.uid AS i, b.uid AS j, list_sum([CASE WHEN substr(a.seq, p,
     / nullif(least(length(replace(a.seq, 'N', '')), length(replace(b.seq, 'N', ''))), 0)::DOUBLE AS d FROM {_BLOCKED} a JOIN {_BLOCKED} b ON a.lib_uid = b.lib_uid AND a.v_gene = b.v_gene AND a.j_gene = b.j_gene AND a.cdr3_length = b.cdr3_length AND a.uid < b.uid)"""
 
 
-def _distances(spark: SparkSession, folder: str) -> DataFrame:
-    pairs = clusters.blocked_pairs(_blocked(spark, folder), _BLOCK, "uid", ["seq"])
-    return pairs.select(*_BLOCK, "i", "j", clusters.masked_distance(F.col("seq_i"), F.col("seq_j")).alias("d"))
+def _distances(spark: SparkSession, folder: str, below: float | None = None) -> DataFrame:
+    return clusters.distances(materialised(_blocked(spark, folder)), _BLOCK, "uid", "seq", below)
 
 
 @query(f"SELECT i, j, round(d, 9) AS d FROM {_DIST} WHERE d < 0.1")
 def pairwise_distance(spark: SparkSession, folder: str) -> DataFrame:
-    return _distances(spark, folder).where("d < 0.1").select("i", "j", F.round("d", 9).alias("d"))
+    return _distances(spark, folder, 0.1).select("i", "j", F.round("d", 9).alias("d"))
 
 
 @query(f"SELECT uid, round(min(d), 9) AS nearest, count(*) AS n FROM (SELECT i AS uid, d FROM {_DIST} UNION ALL SELECT j, d FROM {_DIST}) WHERE d IS NOT NULL GROUP BY uid")
 def nearest_neighbour(spark: SparkSession, folder: str) -> DataFrame:
-    both = _distances(spark, folder).where("d IS NOT NULL").select(F.explode(F.array("i", "j")).alias("uid"), "d")
+    both = _distances(spark, folder).select(F.explode(F.array("i", "j")).alias("uid"), "d")
     return both.groupBy("uid").agg(F.round(F.min("d"), 9).alias("nearest"), F.count("*").alias("n"))
 
 
 @query(f"""WITH RECURSIVE e AS (SELECT i AS a, j AS b FROM {_DIST} WHERE d < 0.1 UNION SELECT j, i FROM {_DIST} WHERE d < 0.1), r AS (SELECT a AS node, a AS g FROM e UNION SELECT e.b, r.g FROM r JOIN e ON e.a = r.node)
     SELECT p.uid, coalesce(g.label, p.uid) AS lineage FROM {_BLOCKED} p LEFT JOIN (SELECT node, min(g) AS label FROM r GROUP BY node) g ON g.node = p.uid""")
 def single_linkage(spark: SparkSession, folder: str) -> DataFrame:
-    labels = clusters.block_components(_distances(spark, folder).where("d < 0.1"), _BLOCK)
-    return _blocked(spark, folder).select("uid").join(labels.withColumnRenamed("node", "uid"), "uid", "left").select("uid", F.coalesce("label", "uid").alias("lineage"))
+    return clusters.linkage(_blocked(spark, folder), _BLOCK, "uid", "seq", 0.1).select(F.col("key").alias("uid"), F.col("label").alias("lineage"))
 
 
 @query(f"SELECT floor(d * 50)::BIGINT AS bin, count(*) AS n FROM {_DIST} WHERE d IS NOT NULL GROUP BY 1")
 def distance_hist(spark: SparkSession, folder: str) -> DataFrame:
-    return _distances(spark, folder).where("d IS NOT NULL").groupBy(F.floor(F.col("d") * 50).alias("bin")).agg(F.count("*").alias("n"))
+    return _distances(spark, folder).groupBy(F.floor(F.col("d") * 50).alias("bin")).agg(F.count("*").alias("n"))
 
 
 # Warehouse
@@ -394,7 +389,7 @@ def collapse_vdj(spark: SparkSession, folder: str) -> DataFrame:
 @query("SELECT CAST(uid AS BIGINT) AS uid, visit, row_number() OVER (PARTITION BY visit ORDER BY uid) - 1 AS number FROM (SELECT DISTINCT uid, visit FROM sequences WHERE uid IS NOT NULL)")
 def clean_uids(spark: SparkSession, folder: str) -> DataFrame:
     rows = _sequences(spark, folder).where("uid IS NOT NULL").select("uid", "visit").distinct()
-    return warehouse.numbered(rows, ["visit"], [F.col("uid")], "number")
+    return warehouse.numbered_by_ranges(rows, "visit", "uid", "number")
 
 
 @query("""SELECT patient_uid, subsample_p, subsample_replicate, count(*) AS n_libs, sum(original_num_seqs)::BIGINT AS original_num_seqs, sum(num_seqs)::BIGINT AS num_seqs FROM libs GROUP BY ALL""")

@@ -1,5 +1,7 @@
 """Sequence functions, molecules, blocks, warehouse operations and trees, on hand-made rows."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from strandwise.functions import sequences as S
@@ -44,6 +46,32 @@ def test_blocks(spark):
     assert value(spark, clusters.masked(F.col("s"), F.col("q"), 10), s="ACG", q="I#I") == "ANG"
 
 
+def test_large_blocks(spark, monkeypatch):
+    """Blocks cut into chunks give the pairs and groups of blocks compared whole; no group of pairs goes through one task."""
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("ACGTN") for _ in range(rng.randrange(6, 9))) for _ in range(60)] + ["ACGTACGT"] * 20 + ["NNN"] * 3
+    data = [(k, "a" if k % 3 else "b", t) for k, t in enumerate(texts)] + [(900, None, "ACGTACGT"), (901, "a", None)]
+    rows = spark.createDataFrame(data, "uid long, b string, s string")
+    got = {}
+    for size in (1000, 7):
+        monkeypatch.setattr(clusters, "CHUNK", size)
+        for masking, below in ((True, None), (True, 0.3), (False, 3)):
+            pairs = [tuple(r) for r in clusters.distances(rows, ["b"], "uid", "s", below, masking).collect()]
+            labels = {r["key"]: r["label"] for r in clusters.linkage(rows, ["b"], "uid", "s", below or 0.2, masking).collect()}
+            assert len(labels) == len(data) and labels[900] == 900 and labels[901] == 901 and got.setdefault((masking, below), (sorted(pairs), labels)) == (sorted(pairs), labels)
+    parent = {k: k for k, *_ in data}
+    for i, j, d in got[True, None][0]:
+        a, b = data[i][2], data[j][2]
+        assert i < j and data[i][1] == data[j][1] and d == sum(x != y and "N" not in (x, y) for x, y in zip(a, b)) / min(len(a) - a.count("N"), len(b) - b.count("N"))
+        if d < 0.2:
+            find = lambda k: k if parent[k] == k else find(parent[k])  # noqa: B023, E731
+            low, high = sorted((find(i), find(j)))
+            parent[high] = low
+    find = lambda k: k if parent[k] == k else find(parent[k])
+    assert got[True, None][1] == {k: find(k) for k in parent}
+    assert len({r["n"] for r in warehouse.numbered_by_ranges(rows, "b", "uid", "n").where("b = 'a'").collect()}) == sum(b == "a" for _, b, _ in data)
+
+
 def test_merges(spark):
     old = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     new = spark.createDataFrame([(2, None), (3, "c")], "k int, v string")
