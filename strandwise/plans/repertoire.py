@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from strandwise.functions import sequences as S
 from strandwise.operators import clusters, lineages, molecules, warehouse
+from strandwise.plans.skew import lookup_join
 from strandwise.plans.stages import as_bigint, materialised, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -311,6 +312,62 @@ def distance_hist(spark: SparkSession, folder: str) -> DataFrame:
     return _distances(spark, folder).groupBy(F.floor(F.col("d") * 50).alias("bin")).agg(F.count("*").alias("n"))
 
 
+# Lineages across the libraries of a patient, as the reference compares them
+
+LEAST_SCORE = 5
+_LOADED = "(SELECT uid, {c} FROM (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY loaded_at DESC NULLS LAST, {o}) AS r FROM {t} WHERE uid IS NOT NULL) WHERE r = 1)"
+_STRINGS = _LOADED.format(c=f"{CLEAN.format('v_seq')} AS v, concat({CLEAN.format('d_seq')}, {CLEAN.format('j_seq')}) AS dj", o=f"{CLEAN.format('v_seq')}, concat({CLEAN.format('d_seq')}, {CLEAN.format('j_seq')})", t="sequence_strings")
+_SCORES = _LOADED.format(c="coalesce(quality_scores, '') AS q", o="coalesce(quality_scores, '')", t="quality_scores")
+_WHOLE = f"""(SELECT uid, patient_uid, v_gene, j_gene, cdr3_length, lpad(substr(m, 1, length(v)), CAST(greatest(max(length(v)) OVER (PARTITION BY patient_uid, v_gene, j_gene, cdr3_length), 1) AS INTEGER), 'N') || substr(m, length(v) + 1) AS seq FROM
+    (SELECT *, array_to_string([CASE WHEN p <= length(q) AND ascii(substr(q, p, 1)) - 33 >= {LEAST_SCORE} THEN substr(v || dj, p, 1) ELSE 'N' END FOR p IN range(1, length(v || dj) + 1)], '') AS m FROM
+     (SELECT s.*, t.v, t.dj, coalesce(string_split(x.q, '~')[1], '') AS q FROM (SELECT CAST(uid AS BIGINT) AS uid, min(patient_uid) AS patient_uid, min(string_split(v_germline, '*')[1]) AS v_gene, min(string_split(j_germline, '*')[1]) AS j_gene,
+       min(cdr3_length) AS cdr3_length, min(sequence_string_uid) AS string_uid, min(quality_score_uid) AS score_uid FROM sequences WHERE uid IS NOT NULL GROUP BY uid) s JOIN {_STRINGS} t ON t.uid = s.string_uid LEFT JOIN {_SCORES} x ON x.uid = s.score_uid
+      WHERE patient_uid IS NOT NULL AND v_gene IS NOT NULL AND j_gene IS NOT NULL AND cdr3_length IS NOT NULL)))"""
+_WHOLE_BLOCK = ["patient_uid", "v_gene", "j_gene", "cdr3_length"]
+_WHOLE_DIST = f"""(SELECT i, j, differ / nullif(least(n_i, n_j), 0)::DOUBLE AS d FROM (SELECT a.uid AS i, b.uid AS j, length(replace(a.seq, 'N', '')) AS n_i, length(replace(b.seq, 'N', '')) AS n_j,
+    list_sum([CASE WHEN substr(a.seq, p, 1) <> substr(b.seq, p, 1) AND substr(a.seq, p, 1) <> 'N' AND substr(b.seq, p, 1) <> 'N' THEN 1 ELSE 0 END FOR p IN range(1, least(length(a.seq), length(b.seq)) + 1)]) AS differ
+    FROM {_WHOLE} a JOIN {_WHOLE} b ON {" AND ".join(f"a.{c} = b.{c}" for c in _WHOLE_BLOCK)} AND a.uid < b.uid))"""
+
+
+def _whole(spark: SparkSession, folder: str) -> DataFrame:
+    """(uid, block, seq): V, D and J of the latest load, N where the first molecule's score is under LEAST_SCORE or missing; V is aligned by its end within a block."""
+    latest = lambda name, *columns: table(spark, folder, name).withColumn("uid", as_bigint("uid")).where("uid IS NOT NULL").withColumns(dict(columns))
+    first = lambda rows, *names: rows.groupBy("uid").agg(F.min(F.struct((-F.coalesce(F.unix_micros(F.col("loaded_at").cast("timestamp")), F.lit(-(2**62)))).alias("late"), *names)).alias("r")).select("uid", *(F.col(f"r.{c}") for c in names))
+    clean = lambda c: S.clean_bases(F.col(c))
+    strings = first(latest("sequence_strings", ("v", clean("v_seq")), ("dj", F.concat(clean("d_seq"), clean("j_seq")))), "v", "dj").withColumnRenamed("uid", "string_uid")
+    scores = first(latest("quality_scores", ("q", F.coalesce("quality_scores", F.lit("")))), "q").withColumnRenamed("uid", "score_uid")
+    gene = lambda c: F.min(F.element_at(F.split(c, "[*]"), 1))
+    each = _sequences(spark, folder).where("uid IS NOT NULL").groupBy("uid").agg(F.min("patient_uid").alias("patient_uid"), gene("v_germline").alias("v_gene"), gene("j_germline").alias("j_gene"), F.min("cdr3_length").alias("cdr3_length"), F.min("sequence_string_uid").alias("string_uid"), F.min("quality_score_uid").alias("score_uid"))
+    rows = each.where(" AND ".join(f"{c} IS NOT NULL" for c in _WHOLE_BLOCK)).join(strings, "string_uid").join(scores, "score_uid", "left")
+    seq = clusters.masked_text(F.concat("v", "dj"), F.element_at(F.split(F.coalesce("q", F.lit("")), "~"), 1), F.lit(LEAST_SCORE))
+    rows = materialised(rows.select("uid", *_WHOLE_BLOCK, F.length("v").alias("n"), seq.alias("m")).withColumn("block", F.struct(*_WHOLE_BLOCK)))
+    widths = rows.groupBy("block").agg(F.greatest(F.max("n"), F.lit(1)).alias("width"))
+    placed = lookup_join(rows, widths, "block")
+    return materialised(placed.select("uid", *_WHOLE_BLOCK, F.concat(F.lpad(F.left("m", F.col("n")), F.col("width"), F.lit("N")), F.expr("substring(m, n + 1)")).alias("seq")))
+
+
+@query(f"SELECT i, j, round(d, 9) AS d FROM {_WHOLE_DIST} WHERE d < 0.1")
+def lineage_distance(spark: SparkSession, folder: str) -> DataFrame:
+    return clusters.distances(_whole(spark, folder), _WHOLE_BLOCK, "uid", "seq", 0.1).select("i", "j", F.round("d", 9).alias("d"))
+
+
+@query(f"SELECT uid, round(min(d), 9) AS nearest, count(*) AS n FROM (SELECT unnest([i, j]) AS uid, d FROM {_WHOLE_DIST} WHERE d IS NOT NULL) GROUP BY uid")
+def lineage_neighbour(spark: SparkSession, folder: str) -> DataFrame:
+    both = clusters.distances(_whole(spark, folder), _WHOLE_BLOCK, "uid", "seq").select(F.explode(F.array("i", "j")).alias("uid"), "d")
+    return both.groupBy("uid").agg(F.round(F.min("d"), 9).alias("nearest"), F.count("*").alias("n"))
+
+
+@query(f"""WITH RECURSIVE l AS (SELECT i, j FROM {_WHOLE_DIST} WHERE d < 0.1), e AS (SELECT i AS a, j AS b FROM l UNION SELECT j, i FROM l), r AS (SELECT a AS node, a AS g FROM e UNION SELECT e.b, r.g FROM r JOIN e ON e.a = r.node)
+    SELECT p.uid, coalesce(g.label, p.uid) AS lineage FROM {_WHOLE} p LEFT JOIN (SELECT node, min(g) AS label FROM r GROUP BY node) g ON g.node = p.uid""")
+def lineage_linkage(spark: SparkSession, folder: str) -> DataFrame:
+    return clusters.linkage(_whole(spark, folder), _WHOLE_BLOCK, "uid", "seq", 0.1).select(F.col("key").alias("uid"), F.col("label").alias("lineage"))
+
+
+@query(f"SELECT floor(d * 50)::BIGINT AS bin, count(*) AS n FROM {_WHOLE_DIST} WHERE d IS NOT NULL GROUP BY 1")
+def lineage_hist(spark: SparkSession, folder: str) -> DataFrame:
+    return clusters.distances(_whole(spark, folder), _WHOLE_BLOCK, "uid", "seq").groupBy(F.floor(F.col("d") * 50).alias("bin")).agg(F.count("*").alias("n"))
+
+
 # Warehouse
 
 _LATEST = """(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY datetime_updated DESC NULLS LAST, abundance DESC NULLS LAST, is_deleted DESC NULLS LAST, num_unique_seqs DESC NULLS LAST, mst DESC NULLS LAST, patient_uid DESC NULLS LAST) AS r FROM lineages WHERE uid IS NOT NULL) WHERE r = 1)"""

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from strandwise.functions import sequences as S
 from strandwise.operators import clusters, lineages, molecules, warehouse
+from strandwise.plans import repertoire
 
 
 def value(spark, column, **values):
@@ -72,6 +73,18 @@ def test_large_blocks(spark, monkeypatch):
     assert len({r["n"] for r in warehouse.numbered_by_ranges(rows, "b", "uid", "n").where("b = 'a'").collect()}) == sum(b == "a" for _, b, _ in data)
 
 
+def test_lineages_across_libraries(spark, tmp_path):
+    """Sequences of two libraries are linked; bases under the score cut-off are masked; V is aligned by its end."""
+    rng = random.Random(1)
+    v, dj = ("".join(rng.choice("ACGT") for _ in range(n)) for n in (60, 30))
+    wrong = "".join("ACGT"["ACGT".index(c) ^ 1] for c in v[:20]) + v[20:]
+    texts = {1: (v, "I" * 90), 2: (v[7:], "I" * 83), 3: (wrong, "#" * 20 + "I" * 70), 4: (wrong, "I" * 90), 5: (v, None)}
+    spark.createDataFrame([(k, 1, 10 + k, "V1*01", "J1*01", 30, k, k) for k in texts], "uid long, patient_uid int, lib_uid long, v_germline string, j_germline string, cdr3_length int, sequence_string_uid long, quality_score_uid long").withColumns({"lineage_uid": F.lit(1), "mst_ancestor_sequence_uid": F.lit(1)}).write.parquet(f"{tmp_path}/sequences.parquet")
+    spark.createDataFrame([(k, t, dj, None, None) for k, (t, _) in texts.items()], "uid long, v_seq string, d_seq string, j_seq string, loaded_at timestamp").write.parquet(f"{tmp_path}/sequence_strings.parquet")
+    spark.createDataFrame([(k, q, None) for k, (_, q) in texts.items()], "uid long, quality_scores string, loaded_at timestamp").write.parquet(f"{tmp_path}/quality_scores.parquet")
+    assert {(r["i"], r["j"]) for r in repertoire.lineage_distance(spark, str(tmp_path)).collect()} == {(1, 2), (1, 3), (2, 3), (3, 4)}
+
+
 def test_merges(spark):
     old = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     new = spark.createDataFrame([(2, None), (3, "c")], "k int, v string")
