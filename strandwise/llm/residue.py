@@ -41,10 +41,12 @@ TRUSTED_ODDS = 1.0
 #: Log odds from which a passage is residue.
 THRESHOLD = 0.0
 
-_QUOTED = re.compile(r"\"[^\"]{1,300}\"|“[^“”]{1,300}”|„[^„“”]{1,300}[“”]|«[^«»]{1,300}»")
+#: Quotations within a paragraph, of any length. A straight mark opens before a word or bracket and not behind a letter, and closes behind no space.
+_INSIDE = r"[^{0}\n]*(?:\n(?!\s*\n)[^{0}\n]*)*"
+_QUOTED = re.compile("|".join((rf"(?<!\w)\"(?=\S){_INSIDE.format('\"')}(?<=\S)\"(?!\w)", *(o + _INSIDE.format(o + c) + f"[{c}]" for o, c in ("“”", ("„", "“”"), "«»")))))
 #: Slots: fixed values, the delimiters of common template languages, brackets, and the empty values of common programs.
 _FIELD = re.compile(
-    r"\{\{[^{}]{0,80}\}\}|\{%[^%]{0,80}%\}|[$#]\{[^{}]{0,80}\}|<%[^%]{0,80}%>|<<[^<>]{1,80}>>|\[\[[^\[\]]{1,80}\]\]|%%\w{1,60}%%|@@\w{1,60}@@|\$[A-Z][A-Z_]+\$"
+    r"\{\{[^{}]*\}\}|\{%[^%]*%\}|[$#]\{[^{}]*\}|<%[^%]*%>|<<[^<>]+>>|\[\[[^\[\]]+\]\]|%%\w{1,60}%%|@@\w{1,60}@@|\$[A-Z][A-Z_]+\$"
     r"|\[[^\[\]\n]{1,80}\]|<[A-Za-z][A-Za-z _]{1,40}>|\{[A-Za-z][\w .]{1,40}\}|__[A-Za-z]\w{1,40}__"
 )
 _TEMPLATE = ("{{", "{%", "${", "#{", "<%", "<<", "[[", "%%", "@@", "$")

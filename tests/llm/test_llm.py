@@ -259,3 +259,15 @@ def test_residue(spark):
     assert {r["doc_id"] for r in residue.residue(frame).collect()} == {*range(60), 903}
     assert residue.residue(frame.limit(0)).count() == 0
     assert residue.residue(frame.where(F.col("doc_id").between(100, 400))).count() == 0
+
+
+def test_long_quotations_and_fields():
+    """Quotation marks pair whatever the length between them, and fields end at their delimiter, not at a length."""
+    words = lambda text: {w for _, found in residue._parts(text)[1] for w in found}
+    long = " ".join(["quoted"] * 80)
+    got = words(f'He said "{long}." Own text follows. Then "error page" came.\nA 5" pipe (as "known") and „{long}“ or «{long}» end.')
+    assert "quoted" not in got and "error" not in got and "known" not in got and {"own", "text", "follows", "came", "pipe", "end"} <= got
+    assert {"open", "other"} <= words('He said "open words.\n\nAn other paragraph says "so".')
+    for field in ("{{ %s }}", "{%% %s %%}", "<< %s >>", "[[ %s ]]"):
+        fields, _ = residue._parts("Dear " + field % ("some name " * 12))
+        assert [trusted for trusted, *_ in fields] == [True]
