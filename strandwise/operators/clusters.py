@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strandwise.operators.components import connected_components
-from strandwise.plans.skew import lookup_join
 from strandwise.plans.stages import materialised
 
 #: Rows of a block that one task compares with each other; larger blocks are cut into chunks, and each pair of chunks is a task.
@@ -116,7 +115,7 @@ def distances(rows: DataFrame, block: Sequence[str], key: str, text: str, below:
     if sizes.isEmpty():
         small, large = usable, None
     else:
-        placed = materialised(lookup_join(usable, sizes, "block", "left"))
+        placed = materialised(usable.join(sizes, "block", "left"))
         small, large = placed.where("n IS NULL").drop("n"), placed.where("n IS NOT NULL")
     pairs = blocked_pairs(small, ["block"], "key", ["text"])
     measure = masked_distance if masking else differing
@@ -143,7 +142,7 @@ def linkage(rows: DataFrame, block: Sequence[str], key: str, text: str, below: f
     links = distances(reps, block, "rep", "text", below, masking)
     groups = connected_components(links.select(F.col("i").alias("a"), F.col("j").alias("b"))).withColumnsRenamed({"node": "rep", "component": "label"})
     named = materialised(reps.join(groups, "rep", "left").select("equal", F.coalesce("label", "rep").alias("label")))
-    found = lookup_join(usable.select("key", "equal"), named, "equal").select("key", "label")
+    found = usable.select("key", "equal").join(named, "equal").select("key", "label")
     return rows.select("key").join(found, "key", "left").select("key", F.coalesce("label", "key").alias("label"))
 
 

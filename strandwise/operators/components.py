@@ -13,7 +13,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandwise.plans.skew import lookup_join
 from strandwise.plans.stages import materialised
 
 #: Edges meant to be in a cell of the grid: what one task holds in memory, times up to the square root of the number of cells in the row of a hub.
@@ -71,16 +70,16 @@ def connected_components(pairs: DataFrame, cell_edges: int = CELL_EDGES, max_rou
         parents = materialised(best.select("node", F.col("p.root").alias("parent"), F.col("p.root_rank").alias("parent_rank")))
         # Each cell's root and the vertices it represents there stay linked, through their new representatives.
         spokes = stars.where("node <> root").select("node", "root")
-        left = lookup_join(spokes, parents, "node").select(F.col("parent").alias("x"), F.col("parent_rank").alias("rank_x"), "root")
+        left = spokes.join(parents, "node").select(F.col("parent").alias("x"), F.col("parent_rank").alias("rank_x"), "root")
         right = parents.select(F.col("node").alias("root"), F.col("parent").alias("y"), F.col("parent_rank").alias("rank_y"))
-        drawn = lookup_join(left, right, "root").where("x <> y")
+        drawn = left.join(right, "root").where("x <> y")
         first = F.col("x") < F.col("y")
         either = lambda u, v: F.when(first, F.col(u)).otherwise(F.col(v))  # noqa: B023, E731
         edges = materialised(drawn.select(either("x", "y").alias("a"), either("y", "x").alias("b"), either("rank_x", "rank_y").alias("rank_a"), either("rank_y", "rank_x").alias("rank_b")).distinct())
         step = parents.select(F.col("node").alias("label"), F.col("parent").alias("next"))
         before = labels if labels is not None else vertices.withColumn("label", F.col("node"))
-        labels = materialised(lookup_join(before, step, "label", "left").select("node", F.coalesce("next", "label").alias("label")))
+        labels = materialised(before.join(step, "label", "left").select("node", F.coalesce("next", "label").alias("label")))
     if labels is None:
         return vertices.withColumn("component", F.col("node"))
     smallest = labels.groupBy("label").agg(F.min("node").alias("component"))
-    return lookup_join(labels, smallest, "label").select("node", "component")
+    return labels.join(smallest, "label").select("node", "component")

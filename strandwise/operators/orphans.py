@@ -13,7 +13,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandwise.plans.skew import lookup_join
 from strandwise.plans.stages import materialised
 
 
@@ -66,7 +65,7 @@ def direct_orphans(tables: Mapping[str, DataFrame], targets: Mapping[str, Target
 
     def of(r: Reference) -> DataFrame:
         states = target_states(tables[r.target], targets[r.target]).withColumn("there", F.lit(True))
-        joined = lookup_join(_links(tables[r.table], r), states, "ref", "left")
+        joined = _links(tables[r.table], r).join(states, "ref", "left")  # the semi-join and the anti-join of the references in one
         reason = F.when(F.col("there").isNull(), "missing").when(F.col("gone"), "deleted").when(F.col("first_seen") > F.col("created"), "late")
         found = joined.withColumn("reason", reason).where("reason IS NOT NULL")
         return found.select(F.lit(r.table).alias("table"), "key", F.lit(r.field).alias("ref_field"), "ref", F.date_format("created", "yyyy-MM").alias("period"), "reason")
@@ -74,17 +73,13 @@ def direct_orphans(tables: Mapping[str, DataFrame], targets: Mapping[str, Target
     return reduce(DataFrame.unionByName, map(of, references))
 
 
-def orphan_cascade(tables: Mapping[str, DataFrame], targets: Mapping[str, Target], references: Sequence[Reference], max_rounds: int = 60) -> DataFrame:
+def orphan_cascade(tables: Mapping[str, DataFrame], targets: Mapping[str, Target], references: Sequence[Reference], max_rounds: int = 100_000) -> DataFrame:
     """(table, key, ref_field, ref, period, reason, kind, depth): direct orphan references, and those inherited from them.
 
     A record with a direct orphan reference is orphaned at depth 0, one that refers to a record of depth d, and to none above, at
     depth d + 1. A reference to an orphaned record that isn't a direct orphan is an inherited one: its reason is `orphaned`, its
     depth the target's plus 1. Cycles end by themselves. Empty tables give no rows; null keys and references are none; further
     columns don't matter.
-
-    The semi-joins down the graph go 1, 2, 4, ... references at a time: after round k all records of a depth under 2^k are known,
-    and the hops of 2^k references between the others are joined to hops of twice that length. So a chain of a million
-    references takes 20 rounds, and each round has fewer records than the one before.
     """
     direct = materialised(direct_orphans(tables, targets, references).withColumns({"kind": F.lit("direct"), "depth": F.lit(0)}))
     inner = [r for r in references if r.target in {x.table for x in references}]
@@ -92,20 +87,45 @@ def orphan_cascade(tables: Mapping[str, DataFrame], targets: Mapping[str, Target
         return direct
     node = lambda name, key: F.struct(F.lit(name).alias("t"), F.col(key).alias("k"))
     links = reduce(DataFrame.unionByName, (_links(tables[r.table], r).select(node(r.table, "key").alias("child"), node(r.target, "ref").alias("up"), F.lit(r.field).alias("ref_field"), "created") for r in inner))
-    links = materialised(links)
-    reached = direct.select(F.struct(F.col("table").alias("t"), F.col("key").alias("k")).alias("up"), "depth").groupBy("up").agg(F.min("depth").alias("depth"))
-    known = reached
-    hops = links.select("child", "up").distinct().join(reached.select(F.col("up").alias("child")), "child", "left_anti")
-    for k in range(max_rounds):
-        met = materialised(lookup_join(hops, known, "up", "left"))
-        new = met.where("depth IS NOT NULL").groupBy(F.col("child").alias("up")).agg((F.min("depth") + 2**k).cast("int").alias("depth"))
+    own = direct.select(F.struct(F.col("table").alias("t"), F.col("key").alias("k")).alias("child"), "ref_field", F.struct(F.col("ref").alias("k")).alias("ref"))
+    usable = links.withColumn("ref", F.struct("up.k")).join(own, ["child", "ref_field", "ref"], "left_anti").drop("ref")
+    usable = materialised(usable)
+    orphaned = _orphaned(own.select("child"), usable, max_rounds)
+    inherited = usable.join(orphaned.withColumnRenamed("child", "up"), "up")
+    return direct.unionByName(inherited.select(F.col("child.t").alias("table"), F.col("child.k").alias("key"), "ref_field", F.col("up.k").alias("ref"), F.date_format("created", "yyyy-MM").alias("period"), F.lit("orphaned").alias("reason"), F.lit("inherited").alias("kind"), (F.col("depth") + 1).alias("depth")))
+
+
+def _orphaned(first: DataFrame, links: DataFrame, max_rounds: int) -> DataFrame:
+    """(child, depth) of all records that are orphaned, `first` at depth 0 and then whatever refers to them by `links` (child, up).
+
+    Semi-joins carry that down 1, 2, 4, ... references at a time: after round k all records of a depth under 2**k are known, and the
+    hops of 2**k references between the others are joined to hops of twice that length, so a chain of a million takes 20 rounds.
+    Where records have several references the hops may become more at each round; once they outgrow the links, the last
+    records found are carried on by one reference at a time, which never costs more than a pass over the links.
+    """
+    known = materialised(first.distinct().withColumn("depth", F.lit(0)))
+    hops = materialised(links.select("child", "up").distinct().join(known, "child", "left_anti"))
+    most = 2 * hops.count()
+    reach = lambda among, by, length: among.join(by.withColumnRenamed("child", "up"), "up").groupBy("child").agg((F.min("depth") + length).cast("int").alias("depth"))
+    length = 1
+    for _ in range(max_rounds):
+        new = materialised(reach(hops, known, length))
         if new.isEmpty():
-            break
+            return known
         known = materialised(known.unionByName(new))
-        rest = met.drop("depth").join(new.select(F.col("up").alias("child")), "child", "left_anti")
-        hops = rest.join(met.select(F.col("child").alias("up"), F.col("up").alias("further")), "up").select("child", F.col("further").alias("up")).distinct()
-    inherited = lookup_join(links, known, "up").select(F.col("child.t").alias("table"), F.col("child.k").alias("key"), "ref_field", F.col("up.k").alias("ref"), F.date_format("created", "yyyy-MM").alias("period"), F.lit("orphaned").alias("reason"), F.lit("inherited").alias("kind"), (F.col("depth") + 1).alias("depth"))
-    return direct.unionByName(inherited.join(direct, ["table", "key", "ref_field", "ref"], "left_anti"))
+        rest = hops.join(new, "child", "left_anti")
+        longer = materialised(rest.join(hops.select(F.col("child").alias("up"), F.col("up").alias("further")), "up").select("child", F.col("further").alias("up")).distinct())
+        if longer.count() > most:
+            break
+        hops, length = longer, 2 * length
+    one = links.select("child", "up").join(known, "child", "left_anti")
+    last = known.where(F.col("depth") == 2 * length - 1)
+    for _ in range(max_rounds):
+        last = materialised(reach(one, last, 1).join(known, "child", "left_anti"))
+        if last.isEmpty():
+            break
+        known = materialised(known.unionByName(last))
+    return known
 
 
 def orphan_report(orphans: DataFrame) -> DataFrame:

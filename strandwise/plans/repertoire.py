@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from strandwise.functions import sequences as S
 from strandwise.operators import clusters, lineages, molecules, warehouse
-from strandwise.plans.skew import lookup_join
 from strandwise.plans.stages import as_bigint, materialised, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -342,7 +341,7 @@ def _whole(spark: SparkSession, folder: str) -> DataFrame:
     seq = clusters.masked_text(F.concat("v", "dj"), F.element_at(F.split(F.coalesce("q", F.lit("")), "~"), 1), F.lit(LEAST_SCORE))
     rows = materialised(rows.select("uid", *_WHOLE_BLOCK, F.length("v").alias("n"), seq.alias("m")).withColumn("block", F.struct(*_WHOLE_BLOCK)))
     widths = rows.groupBy("block").agg(F.greatest(F.max("n"), F.lit(1)).alias("width"))
-    placed = lookup_join(rows, widths, "block")
+    placed = rows.join(widths, "block")
     return materialised(placed.select("uid", *_WHOLE_BLOCK, F.concat(F.lpad(F.left("m", F.col("n")), F.col("width"), F.lit("N")), F.expr("substring(m, n + 1)")).alias("seq")))
 
 

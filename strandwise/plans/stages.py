@@ -6,54 +6,89 @@ import atexit
 import contextlib
 import os
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Used only where the session names no checkpoint folder, as in tests on one machine.
+#: Used only where the session names no checkpoint folder and all of Spark is on this machine, as in tests.
 LOCAL_FOLDER = os.path.join(tempfile.gettempdir(), "strandwise-checkpoints")
 
 _DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-def checkpoint_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir, which all executors share; one of this machine where the setting is unset."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or LOCAL_FOLDER).rstrip("/")
-
-
+_lock = threading.Lock()
+_writing: dict[str, int | str | None] = {"n": 0, "before": None}
 _cleared: set[str] = set()
+_scopes = threading.local()
 
 
-def _clear_at_exit(spark: SparkSession, folder: str) -> None:
-    """Has the tables of this application deleted when the interpreter ends."""
-    if folder not in _cleared:
-        _cleared.add(folder)
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir, which all executors share. Where that is unset, one of this machine, if the executors are on it too."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share; intermediate results are written there")
+        folder = LOCAL_FOLDER
+    return folder.rstrip("/")
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    with contextlib.suppress(Exception):  # the session may be gone by then
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        file_system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
-        def delete() -> None:
-            with contextlib.suppress(Exception):  # the session may be gone by then
-                file_system.delete(path, True)
 
-        atexit.register(delete)
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes the tables that `materialised` writes within it at its end, by which the results must have been used."""
+    stack = _scopes.__dict__.setdefault("stack", [])
+    stack.append(f"{checkpoint_folder(spark)}/strandwise-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}")
+    try:
+        yield
+    finally:
+        _delete(spark, stack.pop())
+
+
+def _table_folder(spark: SparkSession) -> str:
+    """The folder of the innermost scratch, or that of the application, which is deleted when the interpreter ends."""
+    whole = f"{checkpoint_folder(spark)}/strandwise-{spark.sparkContext.applicationId}"
+    if whole not in _cleared:
+        _cleared.add(whole)
+        atexit.register(_delete, spark, whole)
+    stack = _scopes.__dict__.get("stack")
+    return stack[-1] if stack else whole
+
+
+@contextlib.contextmanager
+def _dropping_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of jobs within it go when the job ends; the setting comes back with the last thread that needs it."""
+    with _lock:
+        if not _writing["n"]:
+            _writing["before"] = spark.conf.get(_DROP_SHUFFLES, None)
+            spark.conf.set(_DROP_SHUFFLES, "true")
+        _writing["n"] += 1
+    try:
+        yield
+    finally:
+        with _lock:
+            _writing["n"] -= 1
+            if not _writing["n"]:
+                before = _writing["before"]
+                spark.conf.unset(_DROP_SHUFFLES) if before is None else spark.conf.set(_DROP_SHUFFLES, before)
 
 
 def materialised(frame: DataFrame) -> DataFrame:
     """The frame's rows, written once as a table to the shared folder; later reads don't compute them again, also after executors are lost.
 
-    Parquet there takes a fraction of the room of a checkpoint, and its readers skip the columns they don't need.
+    Parquet there takes a fraction of the room of a checkpoint, and its readers skip the columns they don't need. The table stands
+    in for the shuffle files that led to it.
     """
     spark = frame.sparkSession
-    folder = f"{checkpoint_folder(spark)}/strandwise-{spark.sparkContext.applicationId}"
-    _clear_at_exit(spark, folder)
-    path = f"{folder}/{uuid.uuid4().hex}"
-    before = spark.conf.get(_DROP_SHUFFLES, None)
-    spark.conf.set(_DROP_SHUFFLES, "true")  # the table stands in for the shuffle files that led to it
-    try:
+    path = f"{_table_folder(spark)}/{uuid.uuid4().hex}"
+    with _dropping_shuffles(spark):
         frame.write.option("compression", "zstd").parquet(path)
-    finally:
-        spark.conf.unset(_DROP_SHUFFLES) if before is None else spark.conf.set(_DROP_SHUFFLES, before)
     return spark.read.schema(frame.schema).parquet(path)
 
 
