@@ -8,41 +8,42 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandwise.llm.components import connected_components
-from strandwise.llm.consensus import base_tokens, score_tokens, survivors
+from strandwise.llm.consensus import UNCALLED, base_tokens, field_values, score_tokens, survivors
 from strandwise.llm.leakage import leaked, leaks
 from strandwise.llm.mixture import mix, shares, source_name, token_counts
 from strandwise.llm.near_duplicates import NearDuplicates
 from strandwise.llm.residue import residue
-from strandwise.plans.skew import lookup_join
 from strandwise.plans.stages import as_bigint, materialised, table
 
 
 MOLECULE = ["lib_uid", "seq_id"]
 
 
-def _survivors(spark: SparkSession, folder: str, measure: str) -> DataFrame:
+FIELDS = ("v_seq", "c_seq", "quality_score")
+
+
+def _survivors(spark: SparkSession, folder: str, fullest: bool) -> DataFrame:
     """One row per molecule loaded under several uids, with the survivor of each field."""
     strings = table(spark, folder, "sequence_strings", "uid", *MOLECULE, "v_seq", "c_seq", "loaded_at")
     scores = table(spark, folder, "quality_scores", "uid", *MOLECULE, "quality_scores", "loaded_at")
     known = strings.where("lib_uid IS NOT NULL AND seq_id IS NOT NULL AND uid IS NOT NULL")
-    groups = materialised(known.groupBy(*MOLECULE).agg(F.min("uid").alias("low"), F.max("uid").alias("high")).where("low < high").select(F.struct(*MOLECULE).alias("key")))
-    within = lambda rows: lookup_join(rows.withColumn("key", F.struct(*MOLECULE)), groups, "key", "left_semi")
-    strings, scores = materialised(within(strings)), within(scores)
-    v = survivors(strings, MOLECULE, "v_seq", base_tokens("v_seq"), "N", measure)
-    c = survivors(strings, MOLECULE, "c_seq", base_tokens("c_seq"), "N", measure)
-    q = survivors(scores, MOLECULE, "quality_score", score_tokens("quality_scores"), "#", measure)
-    return v.join(c, "key").join(q, "key", "left")
+    groups = materialised(known.groupBy(*MOLECULE).agg(F.min("uid").alias("low"), F.max("uid").alias("high")).where("low < high").select(*MOLECULE))
+    within = lambda rows, **fields: field_values(rows.join(groups, MOLECULE, "left_semi"), MOLECULE, fields)
+    values = within(strings, v_seq=base_tokens("v_seq"), c_seq=base_tokens("c_seq")).unionByName(within(scores, quality_score=score_tokens("quality_scores")))
+    found = survivors(values, fullest)
+    of = lambda f: F.max(F.when(F.col("key.field") == f, F.struct("uid", "distance", "consensus"))).alias(f)
+    return found.groupBy(*(F.col(f"key.{c}").alias(c) for c in MOLECULE)).agg(*map(of, FIELDS))
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
-    uids = [as_bigint(f"{f}_uid").alias(f"{f}_uid") for f in ("v_seq", "c_seq", "quality_score")]
-    return _survivors(spark, folder, "coverage").select("key.lib_uid", "key.seq_id", *uids)
+    return _survivors(spark, folder, fullest=True).select(*MOLECULE, *(as_bigint(f"{f}.uid").alias(f"{f}_uid") for f in FIELDS))
 
 
 def p2_records(spark: SparkSession, folder: str) -> DataFrame:
     """The records built by consensus, beside the existing values that agree best with them."""
-    out = _survivors(spark, folder, "agreement")
-    return out.select("key.lib_uid", "key.seq_id", *(c for f in ("v_seq", "c_seq", "quality_score") for c in (as_bigint(f"{f}_uid").alias(f"{f}_uid"), f"{f}_distance", f"{f}_consensus")))
+    out = _survivors(spark, folder, fullest=False)
+    agreed = lambda f: F.col(f"{f}.consensus") if f == "quality_score" else F.replace(F.col(f"{f}.consensus"), F.lit(UNCALLED), F.lit("N"))
+    return out.select(*MOLECULE, *(c for f in FIELDS for c in (as_bigint(f"{f}.uid").alias(f"{f}_uid"), F.col(f"{f}.distance").alias(f"{f}_distance"), agreed(f).alias(f"{f}_consensus"))))
 
 
 def _near_duplicates(spark: SparkSession, folder: str) -> NearDuplicates:
@@ -62,7 +63,7 @@ def _components(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]
     uids = materialised(table(spark, folder, "sequences").select(as_bigint("uid").alias("uid")).where("uid IS NOT NULL").distinct())
     pairs = table(spark, folder, "pair_matches").where("is_match").select(as_bigint("uid_a").alias("a"), as_bigint("uid_b").alias("b")).where("a <> b").distinct()
     for end in ("a", "b"):
-        pairs = lookup_join(pairs, uids.withColumnRenamed("uid", end), end, "left_semi")
+        pairs = pairs.join(uids.withColumnRenamed("uid", end), end, "left_semi")
     return connected_components(pairs), uids
 
 
@@ -79,7 +80,7 @@ def p5_lineage_agreement(spark: SparkSession, folder: str) -> DataFrame:
     placed = materialised(rows.join(grouped, "uid").groupBy("group_uid", "uid", "lineage_uid").agg(F.lit(1).alias("one")).drop("one"))
     own = placed.groupBy("uid", "group_uid").agg(F.count("lineage_uid").alias("n_lineages"))
     whole = placed.select("group_uid", "lineage_uid").distinct().groupBy("group_uid").agg(F.count("lineage_uid").alias("n_group_lineages"))
-    return lookup_join(own, whole, "group_uid").select("uid", "group_uid", "n_lineages", "n_group_lineages")
+    return own.join(whole, "group_uid").select("uid", "group_uid", "n_lineages", "n_group_lineages")
 
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:

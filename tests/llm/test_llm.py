@@ -142,20 +142,67 @@ def test_components(spark):
 
 
 RECORDS = "k long, uid long, loaded_at timestamp, v string, key string, tokens string, distance int"
+T = [datetime(2020, 1, d) for d in (1, 2, 3)]
+
+
+def surviving(spark, rows, fullest):
+    values = consensus.field_values(spark.createDataFrame(rows, RECORDS), ["k"], {"v": consensus.base_tokens("v")})
+    return {r["key"]["k"]: r for r in consensus.survivors(values, fullest).collect()}
 
 
 def test_survivors(spark):
-    t = [datetime(2020, 1, d) for d in (1, 2, 3)]
     rows = [
-        (1, 11, t[0], "ACGTACGTAA", "", "", 0), (1, 12, t[1], "acgtnCGTAA", "", "", 0), (1, 13, t[2], "CGTACGTA", "", "", 0), (1, 14, t[1], "ACG-TACGT AA.", "", "", 0), (1, 15, None, "ACGTACGTAA", "", "", 0),
-        (2, 21, t[0], None, "", "", 0), (2, 22, t[1], "", "", "", 0), (2, 23, t[1], "NNNN", "", "", 0), (3, 31, t[0], "ACGT", "", "", 0), (3, 31, t[0], "ACGT", "", "", 0), (None, 41, t[0], "ACGT", "", "", 0), (4, None, t[0], "ACGT", "", "", 0),
+        (1, 11, T[0], "ACGTACGTAA", "", "", 0), (1, 12, T[1], "acgtnCGTAA", "", "", 0), (1, 13, T[2], "CGTACGTA", "", "", 0), (1, 14, T[1], "ACG-TACGT AA.", "", "", 0), (1, 15, None, "ACGTACGTAA", "", "", 0),
+        (2, 21, T[0], None, "", "", 0), (2, 22, T[1], "", "", "", 0), (2, 23, T[1], "NNNN", "", "", 0), (3, 31, T[0], "ACGT", "", "", 0), (3, 31, T[0], "ACGT", "", "", 0), (None, 41, T[0], "ACGT", "", "", 0), (4, None, T[0], "ACGT", "", "", 0),
     ]
-    got = {r["key"]["k"]: r for r in consensus.survivors(spark.createDataFrame(rows, RECORDS), ["k"], "v", consensus.base_tokens("v"), "N").collect()}
-    assert {k: (r["v_uid"], r["v_distance"]) for k, r in got.items()} == {1: (14, 0), 2: (22, 0), 3: (31, 0)}
-    assert got[1]["v_consensus"] == "ACGTACGTAA"
-    agreed = consensus.survivors(spark.createDataFrame(rows, RECORDS), ["k"], "v", consensus.base_tokens("v"), "N", "agreement")
-    assert {r["key"]["k"]: r["v_uid"] for r in agreed.collect()} == {1: 14, 2: 23, 3: 31}  # NNNN is its own consensus
-    assert consensus.survivors(spark.createDataFrame([], RECORDS), ["k"], "v", consensus.base_tokens("v"), "N").count() == 0
+    for fullest in (True, False):
+        got = surviving(spark, rows, fullest)
+        assert {k: (r["uid"], r["distance"]) for k, r in got.items()} == {1: (14, 0), 2: (22, 0), 3: (31, 0)}
+        assert got[1]["consensus"] == "ACGTACGTAA"
+        assert surviving(spark, [], fullest) == {}
+
+
+def test_gaps_vote_and_the_consensus_decides(spark):
+    """A base that one copy inserts is outvoted, a cut end isn't; the fuller value of a group can be further from its consensus."""
+    true = "ACGTTGCAGGATCCATTACG"
+    rows = [(1, 1, T[0], true, "", "", 0), (1, 2, T[0], true, "", "", 0), (1, 3, T[2], true[:10] + "T" + true[10:], "", "", 0), (1, 4, T[2], true[3:], "", "", 0), (1, 5, T[2], true[:-2], "", "", 0)]
+    got = surviving(spark, rows, False)[1]
+    assert (got["consensus"], got["uid"], got["distance"]) == (true, 1, 0)
+    assert surviving(spark, rows, True)[1]["uid"] == 3  # the exact count takes the one with most called bases
+    assert surviving(spark, [(1, 1, T[0], true, "", "", 0), (1, 2, T[2], true[3:], "", "", 0), (1, 3, T[2], true[3:], "", "", 0)], False)[1]["consensus"] == true
+
+
+def test_consensus_of_planted_molecules(spark):
+    """Of molecules with six or more erroneous copies the consensus is the true text, and the survivor is the copy that brute force finds closest to it."""
+    rng, rows, truth = random.Random(16), [], {}
+    for k in range(40):
+        truth[k] = "".join(rng.choice("ACGT") for _ in range(150))
+        for _ in range(6 + k % 5):
+            v = list(mutated(rng, truth[k], rng.randrange(4)))
+            for _ in range(rng.randrange(4)):
+                v[rng.randrange(len(v))] = "N"
+            rows.append((k, len(rows), rng.choice(T), "".join(v)[rng.choice([0, 0, 7]) :], "", "", 0))
+    got = surviving(spark, rows, False)
+    assert sum(got[k]["consensus"] == truth[k] for k in truth) >= 36  # an insertion into a run of one base may go with a split vote
+    best = {}
+    for k, uid, at, v, *_ in rows:
+        d = edit_distance(v, got[k]["consensus"])
+        best.setdefault(k, []).append((d, -at.timestamp(), uid))
+    assert sum(min(best[k])[2] == got[k]["uid"] for k in truth) >= 38  # equal distances by unlike alignments may differ
+
+
+def test_long_values_are_aligned(spark):
+    """Unlike long values are aligned in parts, at the same score as at once, and an early indel doesn't shift the votes behind it."""
+    rng = random.Random(17)
+    text = "".join(rng.choice("ACGT") for _ in range(2400))
+    a, b = (consensus._codes(t) for t in (text, mutated(rng, text, 300)))
+    score = lambda i, j: sum(-1 if x < 0 or y < 0 or a[x] != b[y] else 2 for x, y in zip(i, j, strict=True))
+    whole = score(*consensus._path(a, b))
+    old, consensus.CELLS = consensus.CELLS, 5000
+    assert score(*consensus._path(a, b)) == whole
+    consensus.CELLS = old
+    rows = [(1, u, T[0], text[:20] + "GT" + text[20:40] + text[41:-1] + "C" if u == 9 else text, "", "", 0) for u in range(7, 10)]
+    assert surviving(spark, rows, False)[1]["consensus"] == text
 
 
 def test_survivor_of_a_large_group(spark):
@@ -168,11 +215,11 @@ def test_survivor_of_a_large_group(spark):
         v[rng.randrange(80)] = rng.choice("ACGT")
         for _ in range(rng.randrange(1, 6)):
             v[rng.randrange(80)] = "N"
-        rows.append((1, i, datetime(2020, 1, 1), "".join(v), "", "", 0))
-    out = consensus.survivors(spark.createDataFrame(rows, RECORDS), ["k"], "v", consensus.base_tokens("v"), "N").first()
+        rows.append((1, i, T[0], "".join(v), "", "", 0))
+    out = surviving(spark, rows, True)[1]
     most = max(sum(c != "N" for c in r[3]) for r in rows)
-    assert out["v_uid"] == min(r[1] for r in rows if sum(c != "N" for c in r[3]) == most)
-    assert out["v_consensus"] == base
+    assert out["uid"] == min(r[1] for r in rows if sum(c != "N" for c in r[3]) == most)
+    assert out["consensus"] == base
 
 
 def plain_words(text):
