@@ -1,20 +1,23 @@
 """Template residue, filler, error pages and script notices in documents, by positive-unlabelled naive Bayes.
 
 Texts fall into passages: sentences (wrapped lines joined again, quoted words left out, since a decision may report an error
-message) and fields (what looks like a slot of a template or a program's empty value). Passages that beyond doubt are residue are
-trusted; the others are unlabelled. Naive Bayes over the passages' features starts with the unlabelled as good text, and
-expectation-maximization then lets them be either. The model scores every passage of every document; a document is
-residue if it has a passage that more likely is than not.
+message) and fields (what looks like a slot of a template or a program's empty value). Passages that say of themselves what
+they are, in the common words of servers, browsers and templates, are trusted to be residue; the others are unlabelled. Naive
+Bayes over the passages' features starts with the unlabelled as good text; expectation-maximization then lets them be either and
+estimates the share of residue anew each round. The trusted passages only train the model: it alone scores every passage of
+every document, and a document is residue if it has a passage that more likely is than not.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 import unicodedata
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from itertools import pairwise
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,28 +29,24 @@ from strandwise.plans.stages import materialised
 MOST_UNLABELLED = 200_000
 MOST_TRUSTED = 50_000
 #: Features kept, the most frequent first; rarer ones than LEAST_COUNT say nothing.
-MOST_FEATURES = 50_000
+MOST_FEATURES = 60_000
 LEAST_COUNT = 3
-ROUNDS = 3
-#: Passages of average text that residue is taken to have beside those seen. A word that residue never has then counts against it.
+ROUNDS = 8
+#: Passages of average text that residue is taken to have beside those seen, for each one seen: how little it tells that residue was never seen with a word.
 SMOOTHING = 1.0
-#: An untrusted passage that recurs as often as this among all passages, and HOUSE_LEAST times at least, is house style, never residue.
-HOUSE_SHARE = 1 / 1000
-HOUSE_LEAST = 20
-#: What a trusted sentence has at most in words, if it isn't filler throughout.
-TRUSTED_WORDS = 16
-#: Least log odds of a trusted passage.
-TRUSTED_ODDS = 1.0
 #: Log odds from which a passage is residue.
 THRESHOLD = 0.0
+#: Characters of a word's beginning that are a feature of their own, in longer words, and what the words' features then count.
+STEM = 5
+STEMMED = 0.75
 
 #: Quotations within a paragraph, of any length. A straight mark opens before a word or bracket and not behind a letter, and closes behind no space.
 _INSIDE = r"[^{0}\n]*(?:\n(?!\s*\n)[^{0}\n]*)*"
 _QUOTED = re.compile("|".join((rf"(?<!\w)\"(?=\S){_INSIDE.format('\"')}(?<=\S)\"(?!\w)", *(o + _INSIDE.format(o + c) + f"[{c}]" for o, c in ("“”", ("„", "“”"), "«»")))))
 #: Slots: fixed values, the delimiters of common template languages, brackets, and the empty values of common programs.
 _FIELD = re.compile(
-    r"\{\{[^{}]*\}\}|\{%[^%]*%\}|[$#]\{[^{}]*\}|<%[^%]*%>|<<[^<>]+>>|\[\[[^\[\]]+\]\]|%%\w{1,60}%%|@@\w{1,60}@@|\$[A-Z][A-Z_]+\$"
-    r"|\[[^\[\]\n]{1,80}\]|<[A-Za-z][A-Za-z _]{1,40}>|\{[A-Za-z][\w .]{1,40}\}|__[A-Za-z]\w{1,40}__"
+    r"\{\{[^{}]*\}\}|\{%[^%]*%\}|[$#]\{[^{}]*\}|<%[^%]*%>|<<[^<>]+>>|\[\[[^\[\]]+\]\]|%%\w+%%|@@\w+@@|\$[A-Z][A-Z_]+\$"
+    r"|\[[^\[\]\n]+\]|<[A-Za-z][A-Za-z _]+>|\{[A-Za-z][\w .]+\}|__[A-Za-z]\w+?__"
 )
 _TEMPLATE = ("{{", "{%", "${", "#{", "<%", "<<", "[[", "%%", "@@", "$")
 _EMPTY = ("[object Object]", "Invalid Date", "undefined", "null", "NaN", "None")
@@ -55,26 +54,55 @@ _EMPTY_FIELD = re.compile(r"\[object Object\]|\bInvalid Date\b|\bundefined\b|\bn
 _SLOT_WORD = re.compile(r"\?\?\?|^\W*(?:please |bitte |veuillez )?(?:insert|enter|fill in|einsetzen|einfügen|eintragen|insérer|inscrire|compléter|à compléter)\b", re.I)
 _WORD = re.compile(r"[^\W\d_]+|\d+")
 _SENTENCE = re.compile(r"(?<=[.!?…;>])\s+")
-#: Messages that say of themselves what they are; fixed values.
-_TRUSTED = re.compile(
-    r"\b(?:error|fehler|erreur)\s+\d{3}\b|^\W*[45]\d\d\s+(?:not found|bad gateway|forbidden|internal server error|service unavailable|gateway time)|\baccess denied\b|\bzugriff verweigert\b|\baccès refusé\b"
-    r"|\btemporarily unavailable\b|\bvorübergehend nicht (?:erreichbar|verfügbar)|\bmomentanément indisponible|\bsession has expired|\bsitzung ist abgelaufen|\bsession a expiré|\btraceback \(most recent call last\)|\bfatal error\b|\bstack trace\b"
-    r"|\bsomething went wrong\b|\btimed out after \d+|\btoo many requests\b|\b(?:enable|turn on|activate) javascript\b|\bjavascript is disabled\b|\baktivieren sie javascript\b|\bactiver javascript\b|\bohne javascript\b"
-    r"|\bscripts? (?:are|must be) allowed|\bcookies must be allowed|\bblocks scripts\b|\bblockiert skripte\b|\bneeds scripts\b|\bscript support\b|\bexécution de scripts\b|\bchecking your browser\b|<noscript>"
-    r"|\blorem ipsum\b|\bdummy text\b|\bplaceholder text\b|\btext goes here\b|\basdf|\bto be completed\b|\btext follows\b|^\W*(?:\[\d+\]|\d+\.?)?\s*(?:todo|tbd)\b|\bn/a – draft\b"
-    r"|\bsample paragraph\b|\bblindtext\b|\bplatzhalter\b|\bsteht hier später\b|\btexte (?:à venir|provisoire|de remplissage|factice)\b|\bwird ergänzt\b|\bhttp (?:status|error) \d{3}\b",
-    re.I,
-)
-#: Each trusted sentence has one of these words.
-_TRIGGERS = frozenset(
-    "error fehler erreur #3 denied verweigert refusé unavailable erreichbar verfügbar indisponible expired abgelaufen expiré traceback trace wrong timed requests javascript allowed blocks blockiert needs support scripts checking"
-    " noscript lorem dummy placeholder goes completed follows todo tbd draft paragraph blindtext platzhalter später texte ergänzt http asdf asdfasdf".split()
-)
+#: Trusted sentences by kind, fixed values: the usual first words of messages of servers, programs and browsers, and of stand-in text. Sentences that only report such words don't begin with them.
+_BEGIN = r"^\W*(?:\d+\W+)?(?:(?:please|bitte|veuillez|sorry)\W+)?"
+KINDS = {
+    "error": _BEGIN + r"(?:(?:http )?error \d{3}\b|[45]\d\d (?:not found|bad gateway|forbidden|internal server error|service unavailable|gateway timeout)\b|(?:access|permission) denied\b|(?:service|page|site|server) (?:is )?(?:temporarily |currently )?unavailable\b"
+    r"|your session (?:has )?(?:expired|timed out)\b|something went wrong\b|too many requests\b|page not found\b)|\b(?:connection|request)\b.* timed out\b|\b(?:failed|unable) to (?:open|load|display|render) th(?:is|e) (?:file|page|document)\b",
+    "crash": _BEGIN + r"(?:traceback \(most recent call last\)|fatal error\b|stack trace\b|uncaught \w*(?:error|exception)\b)",
+    "scripts": _BEGIN + r"(?:(?:enable|turn on|activate|allow) (?:javascript|scripts|cookies)\b|(?:javascript|scripts|cookies)(?: and (?:scripts|cookies))? (?:is|are|must be) (?:disabled|blocked|required|enabled|allowed)\b|this (?:site|page) (?:needs|requires|uses) (?:javascript|scripts|cookies)\b"
+    r"|checking your browser\b)|</?noscript>",
+    "filler": _BEGIN + r"(?:(?:lorem ipsum|(?:this is )?(?:dummy|placeholder|filler|sample) text|text goes here)\b|asdf|qwert|blah|xxx)",
+    "draft": r"^\W*(?:\[\d+\]|\d+\.?)?\s*(?:todo|tbd|tba|to be (?:completed|added|inserted)|n/a)\b",
+    "german": _BEGIN + r"(?:fehler \d{3}|zugriff verweigert|ihre sitzung ist abgelaufen|(?:der dienst|die seite|der server) ist (?:vorübergehend|derzeit) nicht (?:erreichbar|verfügbar)|aktivieren sie (?:javascript|cookies)|ohne javascript|(?:blind|platzhalter|füll)text|wird ergänzt)\b",
+    "french": _BEGIN + r"(?:erreur \d{3}|accès refusé|(?:service|site|page) (?:momentanément|temporairement) indisponible|votre session a expiré|activer (?:javascript|les cookies)|texte (?:à venir|provisoire|de remplissage|factice)|à compléter)\b",
+}
+
+
+def trusted_pattern(*left_out: str) -> re.Pattern[str]:
+    """What makes a sentence trusted; without the kinds left out, to measure what the model finds without them."""
+    return re.compile("|".join(f"(?:{pattern})" for kind, pattern in KINDS.items() if kind not in left_out))
+
+
+_TRUSTED = trusted_pattern()
+#: Any text with a trusted passage has one of these somewhere, in lower case; other texts needn't be parsed for them.
+_TRIGGERS = (
+    "{{ {% ${ #{ <% << [[ %% @@ ??? [insert [enter [fill [please [bitte [veuillez [einsetzen [einfügen [eintragen [insérer [inscrire [compléter <insert <enter <fill {insert {enter __insert __enter todo tbd tba n/a asdf qwer blah xxx jklö lorem ipsum"
+    " dolor consectetur error javascript scripts cookies noscript> traceback unavailable uncaught verweigert refusé indisponible blindtext platzhaltertext fülltext compléter"
+).split() + (
+    "$,[object object],invalid date,undefined,fehler ,erreur ,not found,bad gateway,forbidden,gateway timeout,access denied,permission denied,session has,session expired,session timed,went wrong,too many requests,timed out,failed to,unable to,stack trace,checking your browser"
+    ",dummy text,placeholder text,filler text,sample text,text goes here,to be completed,to be added,to be inserted,sitzung ist abgelaufen,nicht erreichbar,nicht verfügbar,wird ergänzt,session a expiré,texte à venir,texte provisoire,texte de remplissage,texte factice"
+).split(",")
+
+
+@functools.lru_cache(1)
+def _triggers() -> ahocorasick.Automaton:
+    found = ahocorasick.Automaton()
+    for word in _TRIGGERS:
+        found.add_word(word, True)
+    found.make_automaton()
+    return found
+
+
+def may_be_trusted(text: str | None) -> bool:
+    return bool(text) and next(_triggers().iter(text.lower()), None) is not None
+
+
 _DIGIT = re.compile(r"[0-9]")
 _NUMBERS = [f"#{n}" for n in range(8)]
 _NUMBER_WORDS = frozenset(_NUMBERS)
+#: The usual words of filler.
 _FILLER = frozenset("lorem ipsum dolor amet consectetur adipiscing asdf asdfasdf qwer qwertz jklö blah xxx".split())
-_TRIGGERS |= _FILLER
 _INVISIBLE = re.compile("[\u00ad\u200b-\u200f\u202a-\u202e\u2060-\u2064\ufeff]")
 
 
@@ -84,21 +112,27 @@ def _filler(words: list[str]) -> bool:
     return n >= 3 and 10 * n >= len(words)
 
 
+def _beside(text: str, at: int, step: int) -> str:
+    """What is next to a place of the text, blanks aside: edge, word or the character."""
+    while 0 <= at < len(text) and text[at] == " ":
+        at += step
+    c = text[at] if 0 <= at < len(text) else "\n"
+    return "edge" if c == "\n" else "word" if c.isalnum() else c
+
+
 def _field(text: str, start: int, end: int) -> tuple[bool, list[str], float]:
     inner = text[start:end]
     kind = next((k for k in _TEMPLATE if inner.startswith(k)), None) or (inner if inner in _EMPTY else inner[0])
-    words = [w.lower() if w.isalpha() else "#" for w in _WORD.findall(inner)[:12]]
+    words = [w.lower() if w.isalpha() else "#" for w in _WORD.findall(inner)]
     features = {f"field {kind}", *(f"in {w}" for w in words), *(f"in {a} {b}" for a, b in pairwise(words))}
     if inner in _EMPTY:
-        before, after = text[max(0, start - 40) : start].rstrip(" ")[-1:], text[end : end + 40].lstrip(" ")[:1]
-        side = lambda c: "edge" if c in ("", "\n") else "word" if c.isalnum() else c
-        features = {f"field {kind}", f"{kind} after {side(before)}", f"{kind} before {side(after)}"}
+        features = {f"field {kind}", f"{kind} after {_beside(text, start - 1, -1)}", f"{kind} before {_beside(text, end, 1)}"}
     trusted = kind in _TEMPLATE or kind in _EMPTY[:3] or bool(_SLOT_WORD.search(inner[1:-1]))
     return trusted, list(features), 1.0
 
 
-def _parts(text: str | None) -> tuple[list[tuple[bool, list[str], float]], list[tuple[str, list[str]]]]:
-    """The fields of a text as passages, and its sentences with their words, numbers by their length."""
+def _parts(text: str | None) -> tuple[list[tuple[bool, list[str], float]], list[tuple[str, list[str], tuple[str, ...]]]]:
+    """The fields of a text as passages, and its sentences with their words, numbers by their length, and with what their place says: how many passages the text has, and whether the sentence has a line to itself or the last one."""
     if not text:
         return [], []
     if not text.isascii():
@@ -126,141 +160,152 @@ def _parts(text: str | None) -> tuple[list[tuple[bool, list[str], float]], list[
         else:
             lines.append(line)
     sentences = []
-    for line in lines:
-        for sentence in _SENTENCE.split(line.lower()):
+    last = len(lines) - 1
+    for k, line in enumerate(lines):
+        split = _SENTENCE.split(line.lower())
+        place = ("own line" if len(split) == 1 else "in line", *(("last line",) if k == last else ()))
+        for sentence in split:
             words = _WORD.findall(sentence)
             if _DIGIT.search(sentence):
                 words = [w if w[0] not in "0123456789" else _NUMBERS[min(len(w), 7)] for w in words]
             if words and not _NUMBER_WORDS.issuperset(words):
-                sentences.append((sentence, words))
-    return fields, sentences
+                sentences.append((sentence, words, place))
+    size = f"text {min(4, (len(fields) + len(sentences)).bit_length() - 1)}"
+    return fields, [(sentence, words, (*place, size)) for sentence, words, place in sentences]
 
 
-def _is_trusted(sentence: str, words: list[str]) -> bool:
-    if _TRIGGERS.isdisjoint(words):
-        return False
-    return _filler(words) if len(words) > TRUSTED_WORDS else bool(_TRUSTED.search(sentence)) or _filler(words)
+def _features(words: list[str], place: tuple[str, ...]) -> tuple[set[str], float]:
+    """The features of a sentence, and the scale that makes up for words that count alone, by their beginnings and in pairs."""
+    stems = {f"^{w[:STEM]}" for w in words if len(w) > STEM}
+    return {*words, *stems, *place, *map(" ".join, pairwise(words))}, STEMMED * len(words) / (2 * len(words) - 1)
 
 
-def passages(text: str | None) -> list[tuple[bool, list[str], float]]:
-    """(trusted, features, scale) of each passage of a text; scale makes up for words that count alone and in pairs too."""
+def passages(text: str | None, trusted: re.Pattern[str] = _TRUSTED) -> list[tuple[bool, list[str], float]]:
+    """(trusted, features, scale) of each passage of a text."""
     fields, sentences = _parts(text)
-    return fields + [(_is_trusted(s, w), list({*w, *map(" ".join, pairwise(w))}), len(w) / (2 * len(w) - 1)) for s, w in sentences]
+    out = list(fields)
+    for sentence, words, place in sentences:
+        features, scale = _features(words, place)
+        out.append((bool(trusted.search(sentence)) or _filler(words), list(features), scale))
+    return out
 
 
-def _training(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = [(d, *p) for d, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True) for p in passages(t)]
-        docs, trusted, features, scale = zip(*rows, strict=True) if rows else ((), (), (), ())
-        yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(trusted, pa.bool_()), pa.array(features, pa.list_(pa.string())), pa.array(scale, pa.float64())], ["doc_id", "trusted", "features", "scale"])
+def _training_of(pattern: re.Pattern[str], trusted: bool):  # noqa: ANN202
+    """The trusted passages of texts, or the others."""
 
+    def training(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(d, *p) for d, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True) if not trusted or may_be_trusted(t) for p in passages(t, pattern) if p[0] == trusted]
+            docs, marks, features, scale = zip(*rows, strict=True) if rows else ((), (), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(marks, pa.bool_()), pa.array(features, pa.list_(pa.string())), pa.array(scale, pa.float64())], ["doc_id", "trusted", "features", "scale"])
 
-_TRAINING = "doc_id long, trusted boolean, features array<string>, scale double"
+    return training
 
 
-def _form(features: Iterable[str]) -> str:
-    return "|".join(sorted(features))
+_TRAINING = "doc_id long, trusted boolean, features array<string>, scale double"
 
 
 class Model:
     """Log odds of residue by feature, and before any feature is seen."""
 
-    def __init__(self, prior: float, weights: dict[str, float], house: frozenset[str] = frozenset()) -> None:
-        self.prior, self.weights, self.house = prior, weights, house
-        # What the pair that a word begins can add at most.
-        self.pairs: dict[str, float] = {}
+    def __init__(self, prior: float, weights: dict[str, float]) -> None:
+        self.prior, self.weights = prior, weights
+        pairs: dict[str, float] = {}
         for f, w in weights.items():
             first, _, second = f.partition(" ")
             if second and w > 0:
-                self.pairs[first] = max(self.pairs.get(first, 0.0), w)
+                pairs[first] = max(pairs.get(first, 0.0), w)
+        stems = {f: w for f, w in weights.items() if f[0] == "^" and w > 0}
+        #: What a word, its beginning and the pair that it begins can add at most.
+        self.most = {w: max(weights.get(w, 0.0), 0.0) + pairs.get(w, 0.0) for w in {*weights, *pairs}}
+        self.stems = stems
 
-    def score(self, features: list[str], scale: float) -> float:
+    def score(self, features: set[str] | list[str], scale: float) -> float:
         get = self.weights.get
-        odds = self.prior + scale * sum(get(f, 0.0) for f in features)
-        return -math.inf if odds > THRESHOLD and self.house and _form(features) in self.house else odds
+        return self.prior + scale * sum([get(f, 0.0) for f in features])
 
     def odds(self, text: str | None) -> tuple[int, list[float]]:
         """The number of a text's passages, and the log odds of those that are residue or might be."""
         fields, sentences = _parts(text)
-        out = [max(self.score(f, scale), TRUSTED_ODDS if trusted else -math.inf) for trusted, f, scale in fields]
-        alone, paired = self.weights.get, self.pairs.get
-        for sentence, words in sentences:
-            trusted = _is_trusted(sentence, words)
-            scale = len(words) / (2 * len(words) - 1)
-            # A sentence whose words can't make residue even with the best pairs doesn't need its pairs.
-            if trusted or self.prior + scale * (sum([alone(w, 0.0) for w in set(words)]) + sum([paired(w, 0.0) for w in words])) > THRESHOLD:
-                score = self.score({*words, *map(" ".join, pairwise(words))}, scale)
-                out.append(max(score, TRUSTED_ODDS if trusted else -math.inf))
+        out = [self.score(f, scale) for _, f, scale in fields]
+        most, stem, get = self.most.get, self.stems.get, self.weights.get
+        for _, words, place in sentences:
+            scale = STEMMED * len(words) / (2 * len(words) - 1)
+            # A sentence that couldn't be residue even with the best pairs doesn't need its pairs.
+            if self.prior + scale * (sum([get(p, 0.0) for p in place]) + sum([most(w, 0.0) for w in words]) + sum([stem("^" + w[:STEM], 0.0) for w in words if len(w) > STEM])) > THRESHOLD:
+                out.append(self.score(*_features(words, place)))
         return len(fields) + len(sentences), out
 
 
-def fit(documents: DataFrame, most_unlabelled: int = MOST_UNLABELLED, most_trusted: int = MOST_TRUSTED, rounds: int = ROUNDS) -> Model:
-    """The model of documents (doc_id, text), from bounded samples of their passages.
+def fit(documents: DataFrame, most_unlabelled: int = MOST_UNLABELLED, most_trusted: int = MOST_TRUSTED, rounds: int = ROUNDS, pattern: re.Pattern[str] = _TRUSTED) -> Model:
+    """The model of documents (doc_id, text), from the trusted passages of all documents and a bounded sample of the others.
 
-    The samples are whole documents, taken by the hash of doc_id: as many as keep the passages within the bounds, all if there are few.
+    The sample is whole documents, taken by the hash of doc_id: as many as keep the passages within the bound, all if there are few; its
+    passages count as many times as they stand for. Trusted passages beyond their bound are sampled likewise.
+    Each round takes the passages that more likely are residue than not as residue (besides the trusted ones), counts features and
+    residue anew, and ends where that changes nothing. Taking passages by fractions instead let residue drift to whatever is
+    frequent and rare in words, such as numbers in brackets (see README).
     """
     n = documents.count()
     texts = documents.where("text IS NOT NULL AND doc_id IS NOT NULL").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    spread = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1_000_000))
+    spread = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 40))
+    part = lambda share: texts.where(spread < int(share * (1 << 40)) + 1).mapInArrow(_training_of(pattern, False), _TRAINING)
     # A few documents tell how many passages there are in one.
-    probe = texts.where(spread < max(1, int(1e6 * min(1.0, 300 / max(n, 1))))).mapInArrow(_training, _TRAINING)
-    per_doc = (probe.count() + 1) / max(1, min(n, 300))
-    share = min(1.0, most_unlabelled / max(1.0, n * per_doc))
-    rows = materialised(texts.where(spread < int(1e6 * share) + 1).mapInArrow(_training, _TRAINING))
-    n_all, n_trusted = rows.count(), rows.where("trusted").count()
+    probe = part(min(1.0, 300 / max(n, 1))).agg(F.count("*"), F.countDistinct("doc_id")).first()
+    share = min(1.0, most_unlabelled / max(1.0, n * (probe[0] + 1) / max(1, probe[1])))
+    trusted = materialised(texts.mapInArrow(_training_of(pattern, True), _TRAINING))
+    n_trusted = trusted.count()
     if not n_trusted:
         return Model(-math.inf, {})
-    rows = rows.where(~F.col("trusted") | (F.rand(5) < min(1.0, most_trusted / n_trusted))) if n_trusted > most_trusted else rows
+    kept_share = min(1.0, most_trusted / n_trusted)
+    weigh = lambda rows, times: rows.select("trusted", "features", "scale", F.lit(times).alias("weight"))
+    rows = materialised(weigh(part(share), 1 / share).unionByName(weigh(trusted.where(F.rand(5) < kept_share) if kept_share < 1 else trusted, 1 / kept_share)))
     counts = rows.select(F.explode("features").alias("f")).groupBy("f").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_COUNT)
-    kept = [r["f"] for r in counts.orderBy(F.desc("n"), "f").limit(MOST_FEATURES).toLocalIterator()]  # at most MOST_FEATURES
-    spark = documents.sparkSession
-    places = spark.sparkContext.broadcast({f: k for k, f in enumerate(kept)})
-    often = rows.where("NOT trusted").groupBy(F.array_join(F.array_sort("features"), "|").alias("p")).agg(F.count("*").alias("n"))
-    house = frozenset(r["p"] for r in often.where(F.col("n") >= max(HOUSE_LEAST, HOUSE_SHARE * n_all)).toLocalIterator())  # at most 1/HOUSE_SHARE
-    coded = materialised(rows.mapInArrow(lambda b: _coded(b, places.value, house), "trusted boolean, house boolean, scale double, codes array<int>"))
-
-    prior = math.log(n_trusted / max(n_all - n_trusted, 1))  # kept, so that residue can't come to stand for any rare kind of text
-    whole = _sums(coded, None, prior, len(kept))[1]
-    weights = None
-    for _ in range(rounds + 1):
-        positive, in_residue = _sums(coded, weights if weights is not None else np.full(len(kept), -np.inf), prior, len(kept))
-        share_of = whole / n_all
-        weights = np.log((in_residue + SMOOTHING * share_of) / (positive + SMOOTHING)) - np.log((whole - in_residue + SMOOTHING * share_of) / (n_all - positive + SMOOTHING))
-    return Model(prior, dict(zip(kept, weights.tolist(), strict=True)), house)
-
-
-def _coded(batches: Iterator[pa.RecordBatch], places: dict[str, int], house: frozenset[str]) -> Iterator[pa.RecordBatch]:
+    kept = [r["f"] for r in counts.orderBy(F.desc("n"), "f").limit(MOST_FEATURES).collect()]  # at most MOST_FEATURES
+    places = documents.sparkSession.sparkContext.broadcast({f: k for k, f in enumerate(kept)})
+    coded = materialised(rows.mapInArrow(lambda b: _coded(b, places.value), "trusted boolean, scale double, weight double, codes array<int>"))
+
+    n_all, whole = _sums(coded, None, 0.0, len(kept))
+    prior, weights, before = -math.inf, np.zeros(len(kept)), -1.0
+    for _ in range(rounds):
+        positive, in_residue = _sums(coded, weights, prior, len(kept))
+        if positive == before:
+            break
+        before, beside = positive, SMOOTHING * n_trusted
+        prior = math.log(positive / max(n_all - positive, 1.0))
+        usual = beside * whole / n_all
+        weights = np.log((in_residue + usual) / (positive + beside)) - np.log((np.maximum(whole - in_residue, 0.0) + usual) / (n_all - positive + beside))
+    return Model(prior, dict(zip(kept, weights.tolist(), strict=True)))
+
+
+def _coded(batches: Iterator[pa.RecordBatch], places: dict[str, int]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = batch.column("features").to_pylist()
-        codes = [[places[f] for f in features if f in places] for features in rows]
-        common = [_form(features) in house for features in rows]
-        yield pa.RecordBatch.from_arrays([batch.column("trusted"), pa.array(common, pa.bool_()), batch.column("scale"), pa.array(codes, pa.list_(pa.int32()))], ["trusted", "house", "scale", "codes"])
+        codes = [[places[f] for f in features if f in places] for features in batch.column("features").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("trusted"), batch.column("scale"), batch.column("weight"), pa.array(codes, pa.list_(pa.int32()))], ["trusted", "scale", "weight", "codes"])
 
 
 def _sums(coded: DataFrame, weights: np.ndarray | None, prior: float, width: int) -> tuple[float, np.ndarray]:
-    """Expected passages of residue, and in how many of those each feature is, under the weights; of all passages without weights."""
+    """Passages that are residue under the weights, and in how many of those each feature is; of all passages without weights."""
     handle = coded.sparkSession.sparkContext.broadcast(weights)  # at most MOST_FEATURES numbers
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, total = handle.value, np.zeros(width + 1)
         for batch in batches:
-            trusted, house = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("trusted", "house"))
-            scale = batch.column("scale").to_numpy()
+            trusted, scale, weight = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("trusted", "scale", "weight"))
             codes = batch.column("codes")
             sizes = np.diff(codes.offsets.to_numpy())
             flat, row = codes.flatten().to_numpy(), np.repeat(np.arange(len(sizes)), sizes)
             if weights is None:
-                belief = np.ones(len(sizes))
+                belief = weight
             else:
-                odds = np.bincount(row, weights[flat], len(sizes)) * scale + prior
-                belief = np.where(trusted, 1.0, np.where(house, 0.0, 1 / (1 + np.exp(-np.clip(odds, -700, 700)))))
+                belief = weight * (trusted | (np.bincount(row, weights[flat], len(sizes)) * scale + prior > THRESHOLD))
             total[:width] += np.bincount(flat, belief[row], width)
             total[width] += belief.sum()
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["f", "s"])
 
     out = np.zeros(width + 1)
-    for r in coded.mapInArrow(step, "f long, s double").groupBy("f").agg(F.sum("s").alias("s")).toLocalIterator():
+    for r in coded.mapInArrow(step, "f long, s double").groupBy("f").agg(F.sum("s").alias("s")).collect():  # at most MOST_FEATURES + 1
         out[r["f"]] = r["s"]
     return float(out[width]), out[:width]
 

@@ -308,9 +308,31 @@ def test_residue(spark):
     assert residue.residue(frame.where(F.col("doc_id").between(100, 400))).count() == 0
 
 
+def test_the_model_decides(spark):
+    """Unknown wordings are found by the words they share with trusted ones, whatever their number; reports of such words in prose aren't residue, though they hold them."""
+    rng = random.Random(19)
+    nouns, verbs = ["court", "tenant", "claim", "appeal", "witness", "invoice", "page", "session"], ["held", "found", "denied", "relied on", "examined"]
+    sentence = lambda: f"The {rng.choice(nouns)} {rng.choice(verbs)} the {rng.choice(nouns)} of 12 May 2014."
+    prose = lambda n: " ".join(sentence() for _ in range(n))
+    trusted = ["Please enable JavaScript in your browser.", "JavaScript is disabled in this browser.", "Cookies must be allowed by your browser.", "This site requires JavaScript."]
+    unknown = ["Your browser refuses JavaScript and cookies.", "No JavaScript, no cookies: allow both in your browser."]
+    reported = ["The tenant found that the page asked the witness to enable JavaScript before the session.", "The court held that the claim about JavaScript on the page of the tenant was denied."]
+    docs = [(i, prose(9) + "\n" + trusted[i % 4]) for i in range(40)] + [(100 + i, prose(9) + "\n" + unknown[i % 2]) for i in range(30)] + [(200 + i, prose(12) + "\n" + reported[i % 2]) for i in range(20)] + [(300 + i, prose(12)) for i in range(300)]
+    assert not any(residue._TRUSTED.search(t.lower()) for t in [*unknown, *reported])
+    found = {r["doc_id"] for r in residue.residue(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert found == {*range(40), *range(100, 130)}
+
+
+def test_every_trusted_passage_has_a_trigger():
+    texts = ["Error 404", "502 Bad Gateway", "Access denied", "Server unavailable", "Your session timed out", "Unable to open this page", "Stack trace:", "Turn on cookies", "Scripts are blocked", "Blah blah", "Sample text", "TBA", "To be inserted", "Fehler 500", "Fülltext", "Die Seite ist derzeit nicht verfügbar", "Erreur 500", "Page temporairement indisponible", "À compléter"]
+    texts += ["{{ a }}", "{% a %}", "${a}", "<% a %>", "<<a>>", "[[a]]", "%%A%%", "@@A@@", "$AB$", "[object Object]", "Invalid Date", "undefined", "[DATE ???]", "[insert a]", "<enter name>", "[bitte eintragen: a]"]
+    for text in texts:
+        assert any(p[0] for p in residue.passages(text)) and residue.may_be_trusted(text), text
+
+
 def test_long_quotations_and_fields():
     """Quotation marks pair whatever the length between them, and fields end at their delimiter, not at a length."""
-    words = lambda text: {w for _, found in residue._parts(text)[1] for w in found}
+    words = lambda text: {w for _, found, _ in residue._parts(text)[1] for w in found}
     long = " ".join(["quoted"] * 80)
     got = words(f'He said "{long}." Own text follows. Then "error page" came.\nA 5" pipe (as "known") and „{long}“ or «{long}» end.')
     assert "quoted" not in got and "error" not in got and "known" not in got and {"own", "text", "follows", "came", "pipe", "end"} <= got
