@@ -1,11 +1,13 @@
 """Evaluation texts in training documents: which documents hold parts of which test items.
 
-1. Both sides are reduced to words. Every run of RUN words is a gram, a 64-bit hash. A bitmap of fixed size over the items' grams goes
-   to all tasks; a document gives off the regions around the places where it hits, everything else stays where it is.
+1. Both sides are reduced to words. Every run of GRAM words is a gram, a 64-bit hash. A bitmap of fixed size over the items' grams goes
+   to all tasks; a document gives off the regions around the places where it hits often enough, everything else stays where it is.
 2. Of an item's grams the rarest in the corpus are its seeds. The most frequent, those of quoted boilerplate, are left out only
    as far as they could not by themselves cover the share of the item that makes a leak, so a leaking document has a seed for sure.
-3. Seeds join regions to items. A Smith-Waterman alignment of the words scores each such region and item, also where the copy was edited.
-4. Documents whose best region aligns over at least one whole run are held to the exact share of the item's words that lie in shared runs.
+3. Seeds join regions to items that have some more grams in common. A Smith-Waterman alignment of the words scores each such region
+   and item, and so finds paraphrased and edited copies, which may have no long run of words in common with the item.
+4. For the exact question the documents whose alignment scores as much as a whole run of RUN words are held to the share of the
+   item's words that lie in such runs.
 """
 
 from __future__ import annotations
@@ -21,8 +23,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandwise.plans.stages import materialised
+from strandwise.plans.stages import materialised, shuffle_width
 
+#: Words of a gram, and grams that a region and an item have in common at least: an unchanged run of RUN words has more. Shorter grams are mostly the phrases of the genre.
+GRAM = 8
+LEAST_GRAMS = 3
+#: Words of a run that counts for the exact share, and the share that makes a leak.
 RUN = 12
 SHARE = 0.4
 #: The bitmap has 2**BITS bits, 8 MB, however many items there are.
@@ -63,14 +69,13 @@ def word_hashes(text: str | None) -> np.ndarray:
     return np.array(out, np.uint64)
 
 
-def grams(hashes: np.ndarray) -> np.ndarray:
-    """One hash for each run of RUN = 12 words."""
-    if len(hashes) < RUN:
+def grams(hashes: np.ndarray, n: int = GRAM) -> np.ndarray:
+    """One hash for each run of n words."""
+    if len(hashes) < n:
         return np.zeros(0, np.uint64)
-    h = hashes[:-1] * _BASE + hashes[1:]
-    h4 = h[:-2] * _BASE**np.uint64(2) + h[2:]
-    h8 = h4[:-4] * _BASE**np.uint64(4) + h4[4:]
-    h = h8[:-4] * _BASE**np.uint64(4) + h4[8:]
+    h = hashes[: len(hashes) - n + 1].copy()
+    for k in range(1, n):
+        h = h * _BASE + hashes[k : len(hashes) - n + 1 + k]
     return (h ^ h >> np.uint64(31)) * np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -90,11 +95,12 @@ def _regions_of(bits: np.ndarray):  # noqa: ANN202
                 g = grams(hashes)
                 at = g >> np.uint64(64 - BITS)
                 hits = np.flatnonzero(bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1))
-                if not len(hits):
+                if len(hits) < LEAST_GRAMS:
                     continue
                 for part in np.split(hits, np.flatnonzero(np.diff(hits) > APART) + 1):
-                    low = max(0, part[0] - MARGIN)
-                    out.append((doc, int(low), hashes[low : part[-1] + RUN + MARGIN].view(np.int64), g[part].view(np.int64)))
+                    if len(part) >= LEAST_GRAMS:
+                        low = max(0, part[0] - MARGIN)
+                        out.append((doc, int(low), hashes[low : part[-1] + GRAM + MARGIN].view(np.int64), g[part].view(np.int64)))
             columns = list(zip(*out, strict=True)) or [(), (), (), ()]
             kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "start", "region_words", "hits"])
@@ -111,7 +117,7 @@ def _seeds_of(share: float):  # noqa: ANN202
         keep = np.ones(len(item), bool)
         for k, places in enumerate(item["places"]):
             for p in places:
-                covered[p : p + RUN] = True
+                covered[p : p + GRAM] = True
             if covered.sum() >= need:
                 break
             keep[k] = False
@@ -138,21 +144,34 @@ def smith_waterman(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
 
 
 def _scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Alignment of each region and item, and the places of the item's runs of RUN words that the region has too."""
     for batch in batches:
         lists = lambda c: [np.array(x, np.int64) for x in batch.column(c).to_pylist()]  # noqa: B023, E731
-        found = [smith_waterman(a, b) for a, b in zip(lists("item_words"), lists("region_words"), strict=True)]
+        found, places = [], []
+        for a, b in zip(lists("item_words"), lists("region_words"), strict=True):
+            hit = np.flatnonzero(np.isin(grams(b.view(np.uint64)), grams(a.view(np.uint64))))
+            best = (0, 0, 0)
+            for part in np.split(hit, np.flatnonzero(np.diff(hit) > APART) + 1):
+                if len(part) >= LEAST_GRAMS:  # only the neighbourhood of the item's own grams is aligned
+                    low = max(0, part[0] - MARGIN)
+                    n, i, j = smith_waterman(a, b[low : part[-1] + GRAM + MARGIN])
+                    best = max(best, (n, i, int(low) + j))
+            found.append(best)
+            places.append(np.flatnonzero(np.isin(grams(a.view(np.uint64), RUN), grams(b.view(np.uint64), RUN))))
         score, _, end = (pa.array([f[k] for f in found], pa.int64()) for k in range(3))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("item_id"), batch.column("start"), score, end], ["doc_id", "item_id", "start", "score", "region_end"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("item_id"), batch.column("start"), score, end, pa.array(places, pa.list_(pa.int64()))], ["doc_id", "item_id", "start", "score", "region_end", "places"])
 
 
 def leaks(documents: DataFrame, items: DataFrame, share: float = SHARE) -> DataFrame:
     """(doc_id, item_id, covered, n_words, score, best_at) of documents (doc_id, text) and items (item_id, passage).
 
-    A row for each document and item that share a seed: covered is how many of the item's n_words lie in runs of 12 or more that the document
-    has too, score the best Smith-Waterman score of its regions (2 for a word in common, -1 for a replaced, added or lost one), and
-    best_at the word of the document at which that alignment ends. Every pair with a covered share of at least `share` is among them.
+    A row for each document and item with an alignment that scores as much as RUN unchanged words, in one region: score is the best
+    Smith-Waterman score of its regions (2 for a word in common, -1 for a replaced, added or lost one), best_at the word of the
+    document at which that alignment ends, and covered is how many of the item's n_words lie in runs of 12 or more that the document
+    has too (0 if it was edited throughout). Every pair with a covered share of at least `share` is among them. A copy so edited
+    that no region keeps LEAST_GRAMS runs of 8 words of the item, one of them a seed, isn't found.
 
-    Null or empty texts and passages, and passages of less than 12 words, are in no row. Null ids are left out. Repeated
+    Null or empty texts and passages, and passages of less than 8 words, are in no row. Null ids are left out. Repeated
     documents give repeated hits but one row per id; an id with several texts counts all of them. Empty tables give no rows;
     other columns don't matter.
     """
@@ -167,24 +186,21 @@ def leaks(documents: DataFrame, items: DataFrame, share: float = SHARE) -> DataF
     texts = documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     regions = materialised(texts.mapInArrow(lambda b: _regions_of(handle.value)(b), "doc_id long, start long, region_words array<long>, hits array<long>"))
 
-    hits = regions.select("doc_id", "start", F.explode("hits").alias("gram"))
+    hits = regions.select("doc_id", "start", F.explode(F.array_distinct("hits")).alias("gram"))
     places = placed.groupBy("item_id", "gram").agg(F.collect_list("place").alias("places"), F.first("n_words").alias("n_words"))
-    frequency = hits.select("doc_id", "gram").distinct().groupBy("gram").agg(F.count("*").alias("n_docs"))
+    frequency = hits.groupBy("gram").agg(F.count("*").alias("n_docs"))
     known = materialised(places.join(frequency, "gram"))  # the grams of items that some document has
-    seeds = known.select("item_id", "gram", "places", "n_words", "n_docs").groupBy("item_id").applyInPandas(_seeds_of(share), "item_id long, gram long")
-    pairs = materialised(hits.join(seeds, "gram").select("doc_id", "start", "item_id").distinct())
-    aligned = pairs.join(regions.select("doc_id", "start", "region_words"), ["doc_id", "start"]).join(tests.select("item_id", "item_words"), "item_id")
-    scores = aligned.mapInArrow(_scores, "doc_id long, item_id long, start long, score long, region_end long")
-    best = scores.groupBy("doc_id", "item_id").agg(F.max(F.struct("score", F.col("start") + F.col("region_end"))).alias("b"))
-    best = best.select("doc_id", "item_id", F.col("b.score").alias("score"), F.col("b.col2").alias("best_at")).where(F.col("score") >= RUN * MATCH)
-
-    shared = pairs.select("doc_id", "item_id").distinct().join(hits.select("doc_id", "gram").distinct(), "doc_id").join(known.select("item_id", "gram", "places", "n_words"), ["item_id", "gram"])
-    order = shared.groupBy("doc_id", "item_id").agg(F.max("n_words").alias("n_words"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("places")))).alias("p"))
+    seeds = known.groupBy("item_id").applyInPandas(_seeds_of(share), "item_id long, gram long")
+    pairs = hits.join(seeds, "gram").select("doc_id", "start", "item_id").distinct()
+    aligned = pairs.join(regions.select("doc_id", "start", "region_words"), ["doc_id", "start"]).join(tests.select("item_id", "item_words"), "item_id").repartition(shuffle_width(spark))  # little data, but much work
+    scores = aligned.mapInArrow(_scores, "doc_id long, item_id long, start long, score long, region_end long, places array<long>")
+    best = scores.groupBy("doc_id", "item_id").agg(F.max(F.struct("score", (F.col("start") + F.col("region_end")).alias("at"))).alias("b"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("places")))).alias("p"))
     steps = F.zip_with(F.slice("p", 2, F.greatest(F.size("p") - 1, F.lit(1))), F.slice("p", 1, F.greatest(F.size("p") - 1, F.lit(1))), lambda b, a: F.when(b.isNotNull(), F.least(b - a, F.lit(RUN))).otherwise(0))
-    covered = F.aggregate(steps, F.lit(RUN), lambda s, d: s + d)
-    return best.join(order.select("doc_id", "item_id", covered.alias("covered"), "n_words"), ["doc_id", "item_id"])
+    covered = F.when(F.size("p") > 0, F.aggregate(steps, F.lit(RUN).cast("bigint"), lambda s, d: s + d)).otherwise(0)
+    found = best.where(F.col("b.score") >= RUN * MATCH).select("doc_id", "item_id", covered.alias("covered"), F.col("b.score").alias("score"), F.col("b.at").alias("best_at"))
+    return found.join(tests.select("item_id", F.size("item_words").alias("n_words")), "item_id").select("doc_id", "item_id", "covered", "n_words", "score", "best_at")
 
 
 def leaked(found: DataFrame, share: float = SHARE) -> DataFrame:
-    """(doc_id, item_id) of the rows of `leaks` whose covered share reaches `share`."""
-    return found.where(F.col("covered") >= F.lit(share) * F.col("n_words") - 1e-9).select("doc_id", "item_id")
+    """(doc_id, item_id) of the rows of `leaks` whose covered share reaches `share`, by an unchanged run at least."""
+    return found.where(F.col("covered") > 0).where(F.col("covered") >= F.lit(share) * F.col("n_words") - 1e-9).select("doc_id", "item_id")
