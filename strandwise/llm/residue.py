@@ -39,10 +39,13 @@ THRESHOLD = 0.0
 #: Characters of a word's beginning that are a feature of their own, in longer words, and what the words' features then count.
 STEM = 5
 STEMMED = 0.75
+#: Words whose bound a task keeps.
+KEPT_WORDS = 500_000
 
 #: Quotations within a paragraph, of any length. A straight mark opens before a word or bracket and not behind a letter, and closes behind no space.
 _INSIDE = r"[^{0}\n]*(?:\n(?!\s*\n)[^{0}\n]*)*"
 _QUOTED = re.compile("|".join((rf"(?<!\w)\"(?=\S){_INSIDE.format('\"')}(?<=\S)\"(?!\w)", *(o + _INSIDE.format(o + c) + f"[{c}]" for o, c in ("“”", ("„", "“”"), "«»")))))
+_MARKS = frozenset('"“„«')
 #: Slots: fixed values, the delimiters of common template languages, brackets, and the empty values of common programs.
 _FIELD = re.compile(
     r"\{\{[^{}]*\}\}|\{%[^%]*%\}|[$#]\{[^{}]*\}|<%[^%]*%>|<<[^<>]+>>|\[\[[^\[\]]+\]\]|%%\w+%%|@@\w+@@|\$[A-Z][A-Z_]+\$"
@@ -139,7 +142,8 @@ def _parts(text: str | None) -> tuple[list[tuple[bool, list[str], float]], list[
         if not unicodedata.is_normalized("NFC", text):
             text = unicodedata.normalize("NFC", text)
         text = _INVISIBLE.sub("", text)
-    text = _QUOTED.sub(" ", text)
+    if not _MARKS.isdisjoint(text):
+        text = _QUOTED.sub(" ", text)
     fields = []
     if any(e in text for e in _EMPTY):
         fields += [_field(text, *m.span()) for m in _EMPTY_FIELD.finditer(text)]
@@ -205,20 +209,35 @@ def _training_of(pattern: re.Pattern[str], trusted: bool):  # noqa: ANN202
 _TRAINING = "doc_id long, trusted boolean, features array<string>, scale double"
 
 
+class _Most(dict):
+    """What a word, its beginning and the pair that it begins can add to the log odds at most."""
+
+    def __init__(self, weights: dict[str, float]) -> None:
+        self.weights = weights
+        self.pairs: dict[str, float] = {}
+        for f, w in weights.items():
+            first, _, second = f.partition(" ")
+            if second and w > 0:
+                self.pairs[first] = max(self.pairs.get(first, 0.0), w)
+
+    def __missing__(self, word: str) -> float:
+        if len(self) > KEPT_WORDS:
+            self.clear()
+        get = self.weights.get
+        most = max(get(word, 0.0), 0.0) + self.pairs.get(word, 0.0) + (max(get("^" + word[:STEM], 0.0), 0.0) if len(word) > STEM else 0.0)
+        self[word] = most
+        return most
+
+
 class Model:
     """Log odds of residue by feature, and before any feature is seen."""
 
     def __init__(self, prior: float, weights: dict[str, float]) -> None:
         self.prior, self.weights = prior, weights
-        pairs: dict[str, float] = {}
-        for f, w in weights.items():
-            first, _, second = f.partition(" ")
-            if second and w > 0:
-                pairs[first] = max(pairs.get(first, 0.0), w)
-        stems = {f: w for f, w in weights.items() if f[0] == "^" and w > 0}
-        #: What a word, its beginning and the pair that it begins can add at most.
-        self.most = {w: max(weights.get(w, 0.0), 0.0) + pairs.get(w, 0.0) for w in {*weights, *pairs}}
-        self.stems = stems
+
+    @functools.cached_property
+    def most(self) -> _Most:
+        return _Most(self.weights)
 
     def score(self, features: set[str] | list[str], scale: float) -> float:
         get = self.weights.get
@@ -228,11 +247,11 @@ class Model:
         """The number of a text's passages, and the log odds of those that are residue or might be."""
         fields, sentences = _parts(text)
         out = [self.score(f, scale) for _, f, scale in fields]
-        most, stem, get = self.most.get, self.stems.get, self.weights.get
+        most, get, prior = self.most.__getitem__, self.weights.get, self.prior - THRESHOLD
         for _, words, place in sentences:
-            scale = STEMMED * len(words) / (2 * len(words) - 1)
+            n = len(words)
             # A sentence that couldn't be residue even with the best pairs doesn't need its pairs.
-            if self.prior + scale * (sum([get(p, 0.0) for p in place]) + sum([most(w, 0.0) for w in words]) + sum([stem("^" + w[:STEM], 0.0) for w in words if len(w) > STEM])) > THRESHOLD:
+            if prior + STEMMED * n / (2 * n - 1) * (sum(map(most, words)) + sum([get(p, 0.0) for p in place])) > 0:
                 out.append(self.score(*_features(words, place)))
         return len(fields) + len(sentences), out
 
