@@ -26,28 +26,6 @@ def blocked_pairs(rows: DataFrame, block: Sequence[str], key: str, keep: Sequenc
     return side("i").join(side("j"), list(block)).where("i < j")
 
 
-def _labels(links: pd.DataFrame) -> pd.DataFrame:
-    nodes, places = np.unique(links[["i", "j"]].to_numpy(), return_inverse=True)
-    a, b = places.reshape(-1, 2).T
-    parent = np.arange(len(nodes))
-    while True:
-        low = np.minimum(parent[a], parent[b])
-        before = parent.copy()
-        np.minimum.at(parent, parent[a], low)
-        np.minimum.at(parent, parent[b], low)
-        parent = parent[parent]
-        if (parent == before).all():
-            return pd.DataFrame({"node": nodes, "label": nodes[parent]})
-
-
-def block_components(links: DataFrame, block: Sequence[str]) -> DataFrame:
-    """(node, label): the single-linkage groups of links (block, i, j), of bigint nodes; links never leave their block.
-
-    A task takes the links of one block; nodes without a link aren't in the result. The label is the smallest node.
-    """
-    return links.select(*block, "i", "j").groupBy(*block).applyInPandas(lambda p: _labels(p[["i", "j"]]), "node long, label long")
-
-
 def masked(sequence: Column, quality: Column, least: int) -> Column:
     """The sequence with N where the score is below `least`, over the shorter of both."""
     n = F.least(F.length(sequence), F.length(quality))
@@ -55,29 +33,40 @@ def masked(sequence: Column, quality: Column, least: int) -> Column:
     return F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(1), n), at), "")).otherwise("")
 
 
+def _places(texts: pd.Series, width: int, unknown: int) -> np.ndarray:
+    """Code matrix of the texts, `unknown` behind their ends; characters beyond Latin-1 are all `?`."""
+    fill = chr(unknown)
+    whole = "".join([t.ljust(width, fill) for t in texts]).encode("latin-1", "replace")
+    return np.frombuffer(whole, np.uint8).reshape(len(texts), width)
+
+
+#: Matrix cells that a task compares at a time.
+CELLS = 1 << 22
+
+
+def _pair_distances(a: pd.Series, b: pd.Series, unknown: int, relative: bool) -> pd.Series:
+    """Places in which the texts differ, `unknown` differing from nothing; relative to the known places of the text that has fewer, null if that has none."""
+    out = np.full(len(a), np.nan)
+    there = np.flatnonzero((a.notna() & b.notna()).to_numpy())
+    size = np.maximum(a.str.len(), b.str.len()).to_numpy()[there]
+    order = there[np.argsort(size, kind="stable")]
+    size = np.sort(size, kind="stable").astype(np.int64)
+    while len(order):
+        many = max(1, int(np.searchsorted(np.maximum(size, 1) * np.arange(1, len(size) + 1), CELLS, side="right")))
+        rows, width = order[:many], int(size[:many].max(initial=0))
+        x, y = (_places(side.iloc[rows], width, unknown) for side in (a, b))
+        known_x, known_y = x != unknown, y != unknown
+        differ = ((x != y) & known_x & known_y).sum(1).astype(np.float64)
+        least = np.minimum(known_x.sum(1), known_y.sum(1))
+        out[rows] = np.divide(differ, least, out=np.full(len(rows), np.nan), where=least > 0) if relative else differ
+        order, size = order[many:], size[many:]
+    return pd.Series(out).astype("Float64").where(~np.isnan(out), None)
+
+
 @F.pandas_udf(T.DoubleType())
 def masked_distance(a: pd.Series, b: pd.Series) -> pd.Series:
     """Differing called places over the called places of the text that has fewer; null if that has none, or a text is null."""
-    unknown, out = ord("N"), []
-    for x, y in zip(a, b, strict=True):
-        if x is None or y is None:
-            out.append(None)
-            continue
-        u, v = (np.frombuffer(t.encode("latin-1", "replace"), np.uint8) for t in (x, y))
-        n = min(len(u), len(v))
-        called = min(int((u != unknown).sum()), int((v != unknown).sum()))
-        differ = (u[:n] != v[:n]) & (u[:n] != unknown) & (v[:n] != unknown)
-        out.append(int(differ.sum()) / called if called else None)
-    return pd.Series(out, dtype="float64")
-
-
-def _places(texts: pd.Series, width: int, unknown: int) -> np.ndarray:
-    """Code matrix of the texts, `unknown` behind their ends."""
-    out = np.full((len(texts), width), unknown, np.uint8)
-    for k, text in enumerate(texts):
-        raw = np.frombuffer(text.encode("latin-1", "replace"), np.uint8)
-        out[k, : len(raw)] = raw
-    return out
+    return _pair_distances(a, b, ord("N"), True)
 
 
 def _compare_chunks(p: pd.DataFrame, below: float | None, masking: bool) -> pd.DataFrame:
@@ -149,15 +138,7 @@ def linkage(rows: DataFrame, block: Sequence[str], key: str, text: str, below: f
 @F.pandas_udf(T.DoubleType())
 def differing(a: pd.Series, b: pd.Series) -> pd.Series:
     """Places in which two texts differ, over the length of the shorter; null if a text is null."""
-    out = []
-    for x, y in zip(a, b, strict=True):
-        if x is None or y is None:
-            out.append(None)
-            continue
-        u, v = (np.frombuffer(t.encode("latin-1", "replace"), np.uint8) for t in (x, y))
-        n = min(len(u), len(v))
-        out.append(int((u[:n] != v[:n]).sum()))
-    return pd.Series(out, dtype="float64")
+    return _pair_distances(a, b, 0, False)
 
 
 @F.pandas_udf(T.StringType())

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -71,3 +71,17 @@ def numbered_by_ranges(rows: DataFrame, group: str, order: str, name: str) -> Da
     ranked = ranged.withColumn("_r", F.row_number().over(Window.partitionBy("_part", group).orderBy(order)))
     joined = ranked.join(offsets, F.col(group).eqNullSafe(F.col("_g")) & (F.col("_part") == F.col("_p")))
     return joined.withColumn(name, F.col("_before") + F.col("_r") - 1).drop("_part", "_r", "_g", "_p", "_before")
+
+
+def running_totals(rows: DataFrame, order: str, values: Mapping[str, Column]) -> DataFrame:
+    """The rows with, under each name, the total of its value over the rows before by `order`, which is distinct; 0 for the first.
+
+    The rows are sorted by ranges, each as a task, and added up in two steps: within a range, then from the totals of the ranges before.
+    """
+    ranged = materialised(rows.repartitionByRange(shuffle_width(rows.sparkSession), order).withColumn("_part", F.spark_partition_id()))
+    sums = ranged.groupBy("_part").agg(*(F.sum(v).alias(f"_{n}") for n, v in values.items()))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    offsets = sums.select("_part", *(F.coalesce(F.sum(f"_{n}").over(before), F.lit(0)).alias(f"_before_{n}") for n in values))
+    within = Window.partitionBy("_part").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = ranged.select("*", *(F.coalesce(F.sum(v).over(within), F.lit(0)).alias(f"_{n}") for n, v in values.items()))
+    return ranked.join(offsets, "_part").select(*rows.columns, *((F.col(f"_before_{n}") + F.col(f"_{n}")).alias(n) for n in values))

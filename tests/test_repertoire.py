@@ -40,10 +40,8 @@ def test_consensus(spark):
 
 def test_blocks(spark):
     rows = spark.createDataFrame([(1, "b", "AAAA"), (2, "b", "AAAC"), (3, "b", "AACC"), (4, "c", "AAAA"), (5, None, "AAAA"), (6, "b", "NNNN")], "uid long, b string, s string")
-    pairs = clusters.blocked_pairs(rows, ["b"], "uid", ["s"])
-    d = pairs.select("b", "i", "j", clusters.masked_distance(F.col("s_i"), F.col("s_j")).alias("d"))
-    labels = {r["node"]: r["label"] for r in clusters.block_components(d.where("d < 0.3"), ["b"]).collect()}
-    assert labels == {1: 1, 2: 1, 3: 1}
+    labels = {r["key"]: r["label"] for r in clusters.linkage(rows, ["b"], "uid", "s", 0.3).collect()}
+    assert labels == {1: 1, 2: 1, 3: 1, 4: 4, 5: 5, 6: 6}
     assert value(spark, clusters.masked(F.col("s"), F.col("q"), 10), s="ACG", q="I#I") == "ANG"
 
 
