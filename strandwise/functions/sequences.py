@@ -153,3 +153,58 @@ def first_reason(rules: Sequence[tuple[Column, str]]) -> Column:
     for rule, reason in rules[1:]:
         out = out.when(rule, reason)
     return out
+
+
+def cut(c: Column, start: Column, end: Column) -> Column:
+    """The characters from the 0-based place start up to, without it, end."""
+    return F.when(end > start, F.substring(c, start + 1, end - start)).otherwise("")
+
+
+def count_differing(a: Column, b: Column, skip: str = "N") -> Column:
+    """Places in which two texts differ, over the shorter; the characters of `skip` differ from nothing."""
+    n = F.least(F.length(a), F.length(b))
+
+    @F.pandas_udf("int")
+    def count(x: pd.Series, y: pd.Series) -> pd.Series:
+        out = []
+        for s, t in zip(x, y, strict=True):
+            u, v = (np.frombuffer((z or "").encode("latin-1", "replace"), np.uint8) for z in (s, t))
+            k = min(len(u), len(v))
+            differ = u[:k] != v[:k]
+            for mark in skip.encode():
+                differ &= (u[:k] != mark) & (v[:k] != mark)
+            out.append(int(differ.sum()))
+        return pd.Series(out, dtype="int32")
+
+    return F.when(n > 0, count(a, b)).otherwise(0)
+
+
+def sliding_similarity(a: Column, b: Column, most: int) -> Column:
+    """The best share of equal places of two texts, one shifted by up to `most` places either way; null if they never overlap."""
+
+    def at(o: int) -> Column:
+        x, y = F.substring(a, F.lit(max(o, 0) + 1), F.length(a)), F.substring(b, F.lit(max(-o, 0) + 1), F.length(b))
+        n = F.least(F.length(x), F.length(y))
+        return F.when(n > 0, 1 - count_differing(F.left(x, n), F.left(y, n), "") / n)
+
+    return F.greatest(*(at(o) for o in range(-most, most + 1)))
+
+
+def clean_float(c: Column) -> Column:
+    """A number from text, null if it isn't one or is NaN."""
+    number = c.try_cast("double")
+    return F.when(~F.isnan(number), number)
+
+
+def split_clean(c: Column) -> Column:
+    """A comma-separated list, with null for -1."""
+    return F.transform(F.split(c, ","), lambda x: F.nullif(x, F.lit("-1")))
+
+
+def is_int(c: Column) -> Column:
+    return c.try_cast("bigint").isNotNull()
+
+
+def flag(c: Column) -> Column:
+    """0 for a plain No, 1 for anything else, also for N/A and null."""
+    return F.when(c == "No", 0).otherwise(1)

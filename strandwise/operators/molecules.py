@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandwise.operators.components import connected_components
+from strandwise.plans.stages import materialised
+
 BASES = ("A", "C", "G", "T")
 
 
@@ -50,3 +53,18 @@ def consensus(reads: DataFrame, molecule: str, sequence: str, quality: str) -> D
 def dereplicate(rows: DataFrame, sequence: str, member: str) -> DataFrame:
     """(sequence, seq_no, abundance, first_member) per distinct sequence; seq_no is a hash, stable under new data."""
     return rows.groupBy(sequence).agg(F.count("*").alias("abundance"), F.min(member).alias("first_member"), F.countDistinct(member).alias("n_members"))
+
+
+def merge_variable_ends(texts: DataFrame, text: str, most: int) -> DataFrame:
+    """(seq, n_variants, longest): distinct texts put together where they share a form, directly or over others; the shortest of a group (the first by letters) stands for it.
+
+    A text's forms are itself and itself without `most` characters at its left, right and both ends. Forms become the edges of a bipartite graph by their
+    hash, whose components the grid finds, so a form shared by very many texts is no task of its own. Texts of up to twice `most` characters are only themselves.
+    """
+    s, n = F.col(text), F.length(text)
+    forms = F.when(n > 2 * most, F.array(s, F.substring(s, F.lit(most + 1), n), F.left(s, n - most), F.substring(s, F.lit(most + 1), n - 2 * most))).otherwise(F.array(s))
+    rows = materialised(texts.where(s.isNotNull()).select(s.alias("seq"), F.xxhash64(s, F.lit(1)).alias("node"), F.transform(forms, lambda f: F.xxhash64(f, F.lit(2))).alias("forms")))
+    groups = connected_components(rows.select(F.col("node").alias("a"), F.explode("forms").alias("b")))
+    placed = rows.select("seq", "node").join(groups, "node")
+    best = F.min(F.struct(F.length("seq").alias("n"), "seq"))
+    return placed.groupBy("component").agg(best["seq"].alias("seq"), F.count("*").alias("n_variants"), F.max(F.length("seq")).alias("longest")).drop("component")

@@ -85,3 +85,17 @@ def running_totals(rows: DataFrame, order: str, values: Mapping[str, Column]) ->
     within = Window.partitionBy("_part").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     ranked = ranged.select("*", *(F.coalesce(F.sum(v).over(within), F.lit(0)).alias(f"_{n}") for n, v in values.items()))
     return ranked.join(offsets, "_part").select(*rows.columns, *((F.col(f"_before_{n}") + F.col(f"_{n}")).alias(n) for n in values))
+
+
+def insert(target: DataFrame, new: DataFrame) -> DataFrame:
+    """The target with rows of text added, in its types; the text NULL and what isn't of the type are null."""
+    typed = (F.nullif(F.col(f"`{f.name}`").cast("string"), F.lit("NULL")).try_cast(f.dataType).alias(f.name) for f in target.schema.fields)
+    return target.unionByName(new.select(*typed))
+
+
+def downsampled(rows: DataFrame, group: str, key: str, most: int) -> DataFrame:
+    """The rows of each group of up to `most`, and of larger ones about so many, picked by a hash of the key: the same at every run."""
+    counts = rows.groupBy(group).agg(F.count("*").alias("_n"))
+    bound = F.lpad(F.lower(F.hex(F.floor(F.lit(float(most)) / F.col("_n") * F.lit(1 << 28)).cast("bigint"))), 7, "0")
+    joined = rows.join(counts, group)
+    return joined.where((F.col("_n") <= most) | (F.substring(F.md5(F.col(key).cast("string")), 1, 7) < bound)).select(*rows.columns)
