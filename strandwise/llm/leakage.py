@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -34,9 +34,11 @@ SHARE = 0.4
 #: The bitmap has 2**BITS bits, 8 MB, however many items there are.
 BITS = 26
 #: Hits that are further apart start a new region; a region has so many more words on both sides.
-APART = 64
-MARGIN = 24
+APART = 32
+MARGIN = 16
 MATCH, MISMATCH, GAP = 2, -1, -1
+#: Pairs aligned at a time.
+TOGETHER = 64
 #: Words whose hashes a task keeps.
 KEPT_WORDS = 1_000_000
 
@@ -64,26 +66,34 @@ def word_hashes(text: str | None) -> np.ndarray:
     for w in words(text):
         h = known.get(w)
         if h is None:
-            h = known[w] = xxhash.xxh64_intdigest(w)
+            h = known[w] = xxhash.xxh32_intdigest(w)
         out.append(h)
-    return np.array(out, np.uint64)
+    return np.array(out, np.uint32)
 
 
 def grams(hashes: np.ndarray, n: int = GRAM) -> np.ndarray:
-    """One hash for each run of n words."""
-    if len(hashes) < n:
+    """One hash for each run of n words: those of 1, 2, 4, ... words first, then the binary digits of n put together."""
+    count = len(hashes) - n + 1
+    if count < 1:
         return np.zeros(0, np.uint64)
-    h = hashes[: len(hashes) - n + 1].copy()
-    for k in range(1, n):
-        h = h * _BASE + hashes[k : len(hashes) - n + 1 + k]
-    return (h ^ h >> np.uint64(31)) * np.uint64(0xBF58476D1CE4E5B9)
+    out, length, run, size = None, 0, hashes.astype(np.uint64), 1
+    runs = [run]
+    while 2 * size <= n:
+        run = run[:-size] * _BASE ** np.uint64(size) + run[size:]
+        size *= 2
+        runs.append(run)
+    for k in range(len(runs) - 1, -1, -1):
+        if n >> k & 1:
+            out = runs[k][:count] if out is None else out * _BASE ** np.uint64(1 << k) + runs[k][length : length + count]
+            length += 1 << k
+    return (out ^ out >> np.uint64(31)) * np.uint64(0xBF58476D1CE4E5B9)
 
 
 def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         hashes = [word_hashes(t) for t in batch.column("passage").to_pylist()]
-        parts = [(h.view(np.int64), grams(h).view(np.int64)) for h in hashes]
-        yield pa.RecordBatch.from_arrays([batch.column("item_id"), pa.array([w for w, _ in parts], pa.list_(pa.int64())), pa.array([g for _, g in parts], pa.list_(pa.int64()))], ["item_id", "item_words", "grams"])
+        parts = [(h.view(np.int32), grams(h).view(np.int64)) for h in hashes]
+        yield pa.RecordBatch.from_arrays([batch.column("item_id"), pa.array([w for w, _ in parts], pa.list_(pa.int32())), pa.array([g for _, g in parts], pa.list_(pa.int64()))], ["item_id", "item_words", "grams"])
 
 
 def _regions_of(bits: np.ndarray):  # noqa: ANN202
@@ -100,9 +110,9 @@ def _regions_of(bits: np.ndarray):  # noqa: ANN202
                 for part in np.split(hits, np.flatnonzero(np.diff(hits) > APART) + 1):
                     if len(part) >= LEAST_GRAMS:
                         low = max(0, part[0] - MARGIN)
-                        out.append((doc, int(low), hashes[low : part[-1] + GRAM + MARGIN].view(np.int64), g[part].view(np.int64)))
+                        out.append((doc, int(low), hashes[low : part[-1] + GRAM + MARGIN].view(np.int32), g[part].view(np.int64)))
             columns = list(zip(*out, strict=True)) or [(), (), (), ()]
-            kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+            kinds = (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "start", "region_words", "hits"])
 
     return regions
@@ -126,40 +136,55 @@ def _seeds_of(share: float):  # noqa: ANN202
     return seeds
 
 
-def smith_waterman(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
-    """Score of the best local alignment of two word sequences, and where it ends in each."""
-    if not len(a) or not len(b):
-        return 0, 0, 0
-    slope = np.arange(len(b) + 1, dtype=np.int64) * -GAP
-    row = np.zeros(len(b) + 1, np.int64)
-    best = (0, 0, 0)
-    for i, w in enumerate(a, 1):
-        new = np.zeros(len(b) + 1, np.int64)
-        new[1:] = np.maximum(np.maximum(row[:-1] + np.where(b == w, MATCH, MISMATCH), row[1:] + GAP), 0)
-        row = np.maximum(np.maximum.accumulate(new + slope) - slope, 0)
-        j = int(row.argmax())
-        if row[j] > best[0]:
-            best = (int(row[j]), i, j)
-    return best
+def smith_waterman(pairs: Sequence[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """(score, end in a, end in b) of the best local alignment of each pair of word sequences, a row of all matrices at a time."""
+    found = np.zeros((len(pairs), 3), np.int64)
+    order = sorted(range(len(pairs)), key=lambda k: (len(pairs[k][0]), len(pairs[k][1])))
+    for at in range(0, len(order), TOGETHER):
+        part = order[at : at + TOGETHER]
+        n, m = (max(len(pairs[k][side]) for k in part) for side in (0, 1))
+        # Words beyond the ends are unlike anything, also each other.
+        a, b = np.full((len(part), n), -1, np.int64), np.full((len(part), m), -2, np.int64)
+        for r, k in enumerate(part):
+            a[r, : len(pairs[k][0])], b[r, : len(pairs[k][1])] = pairs[k]
+        slope = np.arange(m + 1, dtype=np.int32) * -GAP
+        row, new = np.zeros((len(part), m + 1), np.int32), np.zeros((len(part), m + 1), np.int32)
+        best = np.zeros((len(part), 3), np.int64)
+        for i in range(n):
+            new[:, 1:] = np.where(b == a[:, i, None], np.int32(MATCH), np.int32(MISMATCH))
+            new[:, 1:] += row[:, :-1]
+            np.maximum(new[:, 1:], row[:, 1:] + np.int32(GAP), out=new[:, 1:])
+            new += slope
+            np.maximum.accumulate(new, axis=1, out=new)
+            new -= slope
+            np.maximum(new, 0, out=new)
+            top = new.max(1)
+            better = np.flatnonzero(top > best[:, 0])
+            if len(better):
+                best[better] = np.stack([top[better], np.full(len(better), i + 1), new[better].argmax(1)], 1)
+            row, new = new, row
+            new[:, 0] = 0
+        found[part] = best
+    return found
 
 
 def _scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Alignment of each region and item, and the places of the item's runs of RUN words that the region has too."""
     for batch in batches:
-        lists = lambda c: [np.array(x, np.int64) for x in batch.column(c).to_pylist()]  # noqa: B023, E731
-        found, places = [], []
-        for a, b in zip(lists("item_words"), lists("region_words"), strict=True):
-            hit = np.flatnonzero(np.isin(grams(b.view(np.uint64)), grams(a.view(np.uint64))))
-            best = (0, 0, 0)
+        lists = lambda c: [np.array(x, np.int64).astype(np.uint32) for x in batch.column(c).to_pylist()]  # noqa: B023, E731
+        pairs, whose, places = [], [], []
+        for k, (a, b) in enumerate(zip(lists("item_words"), lists("region_words"), strict=True)):
+            hit = np.flatnonzero(np.isin(grams(b), grams(a)))
             for part in np.split(hit, np.flatnonzero(np.diff(hit) > APART) + 1):
                 if len(part) >= LEAST_GRAMS:  # only the neighbourhood of the item's own grams is aligned
-                    low = max(0, part[0] - MARGIN)
-                    n, i, j = smith_waterman(a, b[low : part[-1] + GRAM + MARGIN])
-                    best = max(best, (n, i, int(low) + j))
-            found.append(best)
-            places.append(np.flatnonzero(np.isin(grams(a.view(np.uint64), RUN), grams(b.view(np.uint64), RUN))))
-        score, _, end = (pa.array([f[k] for f in found], pa.int64()) for k in range(3))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("item_id"), batch.column("start"), score, end, pa.array(places, pa.list_(pa.int64()))], ["doc_id", "item_id", "start", "score", "region_end", "places"])
+                    low = max(0, int(part[0]) - MARGIN)
+                    pairs.append((a, b[low : part[-1] + GRAM + MARGIN]))
+                    whose.append((k, low))
+            places.append(np.flatnonzero(np.isin(grams(a, RUN), grams(b, RUN))))
+        best = np.zeros((batch.num_rows, 2), np.int64)
+        for (k, low), (score, _, end) in zip(whose, smith_waterman(pairs).tolist(), strict=True):
+            best[k] = max(tuple(best[k].tolist()), (score, low + end))
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("item_id"), batch.column("start"), pa.array(best[:, 0]), pa.array(best[:, 1]), pa.array(places, pa.list_(pa.int64()))], ["doc_id", "item_id", "start", "score", "region_end", "places"])
 
 
 def leaks(documents: DataFrame, items: DataFrame, share: float = SHARE) -> DataFrame:
@@ -176,7 +201,7 @@ def leaks(documents: DataFrame, items: DataFrame, share: float = SHARE) -> DataF
     other columns don't matter.
     """
     spark = documents.sparkSession
-    tests = materialised(items.where("item_id IS NOT NULL AND passage IS NOT NULL").select(F.col("item_id").cast("bigint").alias("item_id"), "passage").mapInArrow(_items, "item_id long, item_words array<long>, grams array<long>"))
+    tests = materialised(items.where("item_id IS NOT NULL AND passage IS NOT NULL").select(F.col("item_id").cast("bigint").alias("item_id"), "passage").mapInArrow(_items, "item_id long, item_words array<int>, grams array<long>"))
     placed = tests.select("item_id", F.size("item_words").alias("n_words"), F.posexplode("grams").alias("place", "gram"))
     slot = F.shiftrightunsigned("gram", 64 - BITS)
     filled = placed.groupBy(F.shiftright(slot, 6).alias("slot")).agg(F.bit_or(F.expr(f"shiftleft(1L, CAST(shiftrightunsigned(gram, {64 - BITS}) & 63 AS INT))")).alias("bits")).toArrow()  # at most 2**(BITS - 6) rows
@@ -184,7 +209,7 @@ def leaks(documents: DataFrame, items: DataFrame, share: float = SHARE) -> DataF
     bits[filled.column("slot").to_numpy()] = filled.column("bits").to_numpy().view(np.uint64)
     handle = spark.sparkContext.broadcast(bits)
     texts = documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    regions = materialised(texts.mapInArrow(lambda b: _regions_of(handle.value)(b), "doc_id long, start long, region_words array<long>, hits array<long>"))
+    regions = materialised(texts.mapInArrow(lambda b: _regions_of(handle.value)(b), "doc_id long, start long, region_words array<int>, hits array<long>"))
 
     hits = regions.select("doc_id", "start", F.explode(F.array_distinct("hits")).alias("gram"))
     places = placed.groupBy("item_id", "gram").agg(F.collect_list("place").alias("places"), F.first("n_words").alias("n_words"))

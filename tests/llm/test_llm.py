@@ -254,7 +254,8 @@ def test_leaks(spark):
     tests = spark.createDataFrame(items, "item_id long, passage string, gram string, place int")
     assert {tuple(r) for r in leakage.leaked(leakage.leaks(documents, tests)).collect()} == want
     assert leakage.leaks(documents.limit(0), tests).count() == 0 and leakage.leaks(documents, tests.limit(0)).count() == 0
-    assert leakage.smith_waterman(np.array([1, 2, 3, 9, 4]), np.array([7, 1, 2, 3, 4]))[0] == 7
+    pairs = [(np.array(a), np.array(b)) for a, b in (([1, 2, 3, 9, 4], [7, 1, 2, 3, 4]), ([5], [6, 6]), ([], [1]), ([1, 2], [1, 2]))]
+    assert leakage.smith_waterman(pairs).tolist() == [[7, 5, 5], [0, 0, 0], [0, 0, 0], [4, 2, 2]]
 
 
 def test_edited_copies_are_scored(spark):
