@@ -122,23 +122,27 @@ def node_size(abundance: Column) -> Column:
     return F.when(abundance > 0, 5 * F.log10(abundance) + 10).otherwise(5.0)
 
 
-def best_anchor(c: Column, anchor: str, most: int) -> Column:
-    """0-based place of the anchor's best match with at most so many mismatches, of equal ones the last; null without one."""
+def best_anchor(c: Column, anchor: str, most: int, start: Column | None = None, leave: int = 0) -> Column:
+    """0-based place of the anchor's best match with at most so many mismatches, of equal ones the last; null without one.
+
+    Only places from `start` on (0 if null) are looked at, without the last `leave` of those where the anchor would fit.
+    """
 
     @F.pandas_udf("int")
-    def place(texts: pd.Series) -> pd.Series:
+    def place(texts: pd.Series, starts: pd.Series) -> pd.Series:
         want, out = np.frombuffer(anchor.encode(), np.uint8), []
-        for text in texts:
-            raw = np.frombuffer((text or "").encode("latin-1", "replace"), np.uint8)
-            if len(raw) < len(want):
+        for text, first in zip(texts, starts, strict=True):
+            raw = np.frombuffer((text or "").encode("latin-1", "replace"), np.uint8)[int(first) :]
+            if len(raw) < len(want) + leave:
                 out.append(None)
                 continue
             d = (np.lib.stride_tricks.sliding_window_view(raw, len(want)) != want).sum(1)
+            d = d[: len(d) - leave]
             best = len(d) - 1 - int(d[::-1].argmin())
-            out.append(best if d[best] <= most else None)
+            out.append(best + int(first) if d[best] <= most else None)
         return pd.Series(out, dtype="Int32")
 
-    return place(c)
+    return place(c, F.lit(0) if start is None else F.coalesce(start, F.lit(0)))
 
 
 def read_label(c: Column) -> Column:

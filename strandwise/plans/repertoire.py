@@ -121,21 +121,31 @@ def work_groups(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("uid", *(F.pmod("uid", F.lit(n)).cast("bigint").alias(f"group_{n}") for n in S.WORK_GROUPS))
 
 
-_ANCHOR = """(SELECT list_min([struct_pack(d := hamming(substr({s}, (i + 1)::BIGINT, {k}), '{a}'), p := -i) FOR i IN range(length({s}) - {k} + 1)]) )"""
+#: The anchors before and at the end of the CDR3, and the mismatches that they may have.
+START_ANCHOR, START_MOST, END_ANCHOR, END_MOST = "TATTACTGT", 2, "CTGGGG", 1
+_ANCHOR = """(SELECT list_min([struct_pack(d := hamming(substr({s}, (i + 1)::BIGINT, {k}), '{a}'), p := -i) FOR i IN range({first}, length({s}) - {k} + 1 - {leave})]))"""
+_CDR3 = f"""(SELECT uid, loaded_at, s, CASE WHEN b.d <= {START_MOST} THEN -b.p + {len(START_ANCHOR) + 1} ELSE -1 END AS cdr3_start FROM (SELECT uid, loaded_at, s, {_ANCHOR.format(s='s', k=len(START_ANCHOR), a=START_ANCHOR, first=0, leave=2)} AS b FROM
+    (SELECT {UID}, loaded_at::TIMESTAMP AS loaded_at, concat({CLEAN.format('v_seq')}, {CLEAN.format('d_seq')}, {CLEAN.format('j_seq')}) AS s FROM sequence_strings)))"""
 
 
-@query(f"""SELECT uid, loaded_at, CASE WHEN b.d <= 4 THEN -b.p END AS place FROM (SELECT uid, loaded_at, {_ANCHOR.format(s='s', k=9, a='TATTACTGT')} AS b FROM
-    (SELECT {UID}, loaded_at::TIMESTAMP AS loaded_at, {CLEAN.format('v_seq')} AS s FROM sequence_strings) WHERE length(s) >= 9)""")
+def _cdr3(spark: SparkSession, folder: str) -> DataFrame:
+    """The start of the CDR3 by its anchor: the place behind the best match, counted from 1; -1 without one."""
+    rows = _strings(spark, folder).select("uid", "loaded_at", F.concat(*(S.clean_bases(F.col(f"{c}_seq")) for c in "vdj")).alias("s"))
+    place = S.best_anchor(F.col("s"), START_ANCHOR, START_MOST, leave=2)
+    return rows.withColumn("cdr3_start", F.coalesce(place + len(START_ANCHOR) + 1, F.lit(-1)))
+
+
+@query(f"SELECT uid, loaded_at, cdr3_start::BIGINT AS place FROM {_CDR3}")
 def cdr3_start_anchor(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _strings(spark, folder).select("uid", "loaded_at", S.clean_bases(F.col("v_seq")).alias("s")).where("length(s) >= 9")
-    return rows.select("uid", "loaded_at", S.best_anchor(F.col("s"), "TATTACTGT", 4).cast("bigint").alias("place"))
+    return _cdr3(spark, folder).select("uid", "loaded_at", F.col("cdr3_start").cast("bigint").alias("place"))
 
 
-@query(f"""SELECT uid, loaded_at, CASE WHEN b.d <= 1 THEN -b.p END AS place FROM (SELECT uid, loaded_at, {_ANCHOR.format(s='s', k=6, a='CTGGGG')} AS b FROM
-    (SELECT {UID}, loaded_at::TIMESTAMP AS loaded_at, {CLEAN.format('j_seq')} AS s FROM sequence_strings) WHERE length(s) >= 6)""")
+@query(f"""SELECT uid, loaded_at, (CASE WHEN b.d <= {END_MOST} THEN -b.p + 1 ELSE -1 END)::BIGINT AS place FROM (SELECT uid, loaded_at, {_ANCHOR.format(s='s', k=len(END_ANCHOR), a=END_ANCHOR, first='greatest(cdr3_start, 0)', leave=0)} AS b FROM {_CDR3})""")
 def cdr3_end_anchor(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _strings(spark, folder).select("uid", "loaded_at", S.clean_bases(F.col("j_seq")).alias("s")).where("length(s) >= 6")
-    return rows.select("uid", "loaded_at", S.best_anchor(F.col("s"), "CTGGGG", 1).cast("bigint").alias("place"))
+    """The end of the CDR3 by its anchor, looked for from the start on."""
+    rows = _cdr3(spark, folder)
+    place = S.best_anchor(F.col("s"), END_ANCHOR, END_MOST, F.greatest("cdr3_start", F.lit(0)))
+    return rows.select("uid", "loaded_at", F.coalesce(place + 1, F.lit(-1)).cast("bigint").alias("place"))
 
 
 # Filters and losses
@@ -174,11 +184,11 @@ def filter_productive_lowconf(spark: SparkSession, folder: str) -> DataFrame:
     return warehouse.split_by_quality(_sequences(spark, folder)).select("uid", "datetime_updated", "reason")
 
 
-@query("""SELECT CAST(s.uid AS BIGINT) AS uid, count(*) AS n_rows FROM sequences s WHERE isotype IS NULL AND NOT EXISTS (SELECT 1 FROM sequences t WHERE t.lib_uid = s.lib_uid AND t.seq_id = s.seq_id AND t.isotype IS NOT NULL) GROUP BY s.uid""")
+@query("""SELECT CAST(s.uid AS BIGINT) AS uid, count(*) AS n_rows FROM sequences s WHERE subisotype IS NULL AND NOT EXISTS (SELECT 1 FROM sequences t WHERE t.lib_uid = s.lib_uid AND t.seq_id = s.seq_id AND t.subisotype IS NOT NULL) GROUP BY s.uid""")
 def no_isotype_call(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _sequences(spark, folder).select("uid", "lib_uid", "seq_id", "isotype")
-    calls = rows.where("isotype IS NOT NULL").select("lib_uid", "seq_id").distinct()
-    return rows.where("isotype IS NULL").join(calls, ["lib_uid", "seq_id"], "left_anti").groupBy("uid").agg(F.count("*").alias("n_rows"))
+    rows = _sequences(spark, folder).select("uid", "lib_uid", "seq_id", "subisotype")
+    calls = rows.where("subisotype IS NOT NULL").select("lib_uid", "seq_id").distinct()
+    return rows.where("subisotype IS NULL").join(calls, ["lib_uid", "seq_id"], "left_anti").groupBy("uid").agg(F.count("*").alias("n_rows"))
 
 
 # Reads and molecules
