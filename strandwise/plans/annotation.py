@@ -180,3 +180,77 @@ def cluster_records(spark: SparkSession, folder: str) -> DataFrame:
     members = rows.where("lineage_uid IS NOT NULL").select("lineage_uid", "uid").distinct()
     per_uid = rows.groupBy("uid").agg(F.count("*").alias("n_rows"), F.sum("abundance").alias("abundance"))  # before the join, which would repeat a record's rows
     return members.join(per_uid, "uid").select("lineage_uid", "uid", "n_rows", "abundance")
+
+
+# Keys, labels, lists and exports
+
+
+@query("""SELECT CAST(uid AS BIGINT) AS uid, datetime_updated::TIMESTAMP AS datetime_updated, string_split(label, '~')[1]::BIGINT AS label_uid, nullif(string_split(label, '~')[2], '') AS label_isotype, try_cast(string_split(label, '~')[3] AS INTEGER) AS label_abundance,
+    string_split(v_germline, '*')[-1] AS allele, string_split(year_visit_str, '_')[-1] AS last_part FROM (SELECT *, concat(CAST(uid AS BIGINT)::VARCHAR, '~', coalesce(subisotype, ''), '~', coalesce(abundance::VARCHAR, '')) AS label FROM sequences WHERE uid IS NOT NULL)""")
+def parsed_labels(spark: SparkSession, folder: str) -> DataFrame:
+    """Node labels built and taken apart again, and the last parts of names."""
+    label = F.concat(F.col("uid").cast("string"), F.lit("~"), F.coalesce("subisotype", F.lit("")), F.lit("~"), F.coalesce(F.col("abundance").cast("string"), F.lit("")))
+    rows = _sequences(spark, folder).where("uid IS NOT NULL").select("uid", "datetime_updated", "v_germline", "year_visit_str", F.split(label, "~").alias("p"))
+    last = lambda c, sep: F.element_at(F.split(c, sep), -1)
+    return rows.select("uid", "datetime_updated", F.col("p")[0].cast("bigint").alias("label_uid"), F.nullif(F.col("p")[1], F.lit("")).alias("label_isotype"), F.col("p")[2].try_cast("int").alias("label_abundance"), last("v_germline", "[*]").alias("allele"), last("year_visit_str", "_").alias("last_part"))
+
+
+_PAD = "lpad({c}::VARCHAR, greatest({w}, length({c}::VARCHAR))::INTEGER, '0')"
+_P2 = _PAD.format(c="patient_uid", w=3)
+
+
+@query(f"""SELECT CAST(s.uid AS BIGINT) AS uid, s.datetime_updated::TIMESTAMP AS datetime_updated, concat({_P2}, {_PAD.format(c='visit', w=2)})::BIGINT AS visit_key, concat({_P2}, {_PAD.format(c='b.year_visit_uid', w=2)}, {_PAD.format(c='cast(round(coalesce(b.subsample_p, 1) * 100) AS INTEGER)', w=3)}, {_PAD.format(c='b.subsample_replicate', w=2)})::BIGINT AS lib_key,
+    concat({_PAD.format(c='s.clustering_uid', w=6)}, {_PAD.format(c='s.seq_id', w=9)})::DECIMAL(20,0)::VARCHAR AS sequence_key FROM (SELECT uid, datetime_updated, patient_uid AS s_patient, visit, lib_uid, clustering_uid, seq_id FROM sequences) s JOIN libs b ON b.uid = s.lib_uid
+    WHERE s.visit IS NOT NULL AND s.clustering_uid IS NOT NULL AND s.seq_id IS NOT NULL AND b.patient_uid IS NOT NULL AND b.year_visit_uid IS NOT NULL AND b.subsample_replicate IS NOT NULL""")
+def record_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """The keys of a record's visit, library and sequence, zero-filled parts in a row; the library gives the patient and the share of its sample in percent."""
+    libs = table(spark, folder, "libs").select(F.col("uid").alias("lib_uid"), "patient_uid", "year_visit_uid", F.round(F.coalesce("subsample_p", F.lit(1.0)) * 100).cast("int").alias("percent"), "subsample_replicate")
+    libs = libs.where("patient_uid IS NOT NULL AND year_visit_uid IS NOT NULL AND subsample_replicate IS NOT NULL")
+    rows = _sequences(spark, folder).select("uid", "datetime_updated", "visit", "lib_uid", "clustering_uid", "seq_id").where("visit IS NOT NULL AND clustering_uid IS NOT NULL AND seq_id IS NOT NULL").join(libs, "lib_uid")
+    part = lambda *cs: S.key_of(*((F.col(c), w) for c, w in cs))
+    return rows.select("uid", "datetime_updated", part(("patient_uid", 3), ("visit", 2)).cast("bigint").alias("visit_key"), part(("patient_uid", 3), ("year_visit_uid", 2), ("percent", 3), ("subsample_replicate", 2)).cast("bigint").alias("lib_key"), part(("clustering_uid", 6), ("seq_id", 9)).cast("string").alias("sequence_key"))
+
+
+@query(f"""SELECT seq, count(*) AS abundance, list_sort(list(CAST(uid AS BIGINT))) AS members, list_sort(list(DISTINCT x.q) FILTER (x.q IS NOT NULL)) AS scores FROM (SELECT t.uid, t.v || t.d || t.j AS seq FROM {_TEXTS} t) t LEFT JOIN (SELECT uid AS u, q FROM {_LAST_SCORES}) x ON x.u = t.uid WHERE seq <> '' GROUP BY seq""")
+def unique_sequences(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct sequences with the ids of their molecules, and the unlike score strings of those."""
+    scores = warehouse.latest(table(spark, folder, "quality_scores").where("uid IS NOT NULL").withColumn("uid", as_bigint("uid")), ["uid"], ["loaded_at", "quality_scores"])
+    scores = scores.select(F.col("uid").alias("sequence_string_uid"), F.element_at(F.split(F.coalesce("quality_scores", F.lit("")), "~"), 1).alias("q"))
+    rows = _texts(spark, folder).select("sequence_string_uid", F.concat("v", "d", "j").alias("seq")).where("seq <> ''").join(scores, "sequence_string_uid", "left")
+    out = rows.groupBy("seq").agg(F.count("*").alias("abundance"), F.array_sort(F.collect_list("sequence_string_uid")).alias("members"), F.array_sort(F.collect_set("q")).alias("scores"))
+    return out.withColumn("scores", F.when(F.size("scores") > 0, F.col("scores")))
+
+
+@query("""SELECT lib_uid, CASE WHEN n < 10 THEN n WHEN n < 100 THEN n // 10 * 10 ELSE n // 100 * 100 END AS bin, count(*) AS n_molecules FROM (SELECT lib_uid, try_cast(reads_per_molecule AS BIGINT) AS n FROM sequences) WHERE n IS NOT NULL AND lib_uid IS NOT NULL GROUP BY ALL""")
+def molecule_hist(spark: SparkSession, folder: str) -> DataFrame:
+    """Molecules by their number of reads: ones, then tens, then hundreds."""
+    rows = _sequences(spark, folder).select("lib_uid", F.col("reads_per_molecule").try_cast("bigint").alias("n")).where("n IS NOT NULL AND lib_uid IS NOT NULL")
+    bin_ = F.when(F.col("n") < 10, F.col("n")).when(F.col("n") < 100, F.floor(F.col("n") / 10) * 10).otherwise(F.floor(F.col("n") / 100) * 100)
+    return rows.groupBy("lib_uid", bin_.alias("bin")).agg(F.count("*").alias("n_molecules"))
+
+
+@query("""SELECT CAST(mst_ancestor_sequence_uid AS BIGINT) AS source, CAST(lineage_uid AS BIGINT) AS lineage_uid, list_sort(list(DISTINCT CAST(uid AS BIGINT))) AS targets, count(*) AS n_rows FROM sequences WHERE uid IS NOT NULL AND lineage_uid IS NOT NULL AND mst_ancestor_sequence_uid IS NOT NULL GROUP BY ALL""")
+def reversed_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored trees from the ancestors down: each one's children within a lineage, all edges kept."""
+    rows = _sequences(spark, folder).where("uid IS NOT NULL AND lineage_uid IS NOT NULL AND mst_ancestor_sequence_uid IS NOT NULL")
+    return rows.groupBy(F.col("mst_ancestor_sequence_uid").alias("source"), "lineage_uid").agg(F.array_sort(F.collect_set("uid")).alias("targets"), F.count("*").alias("n_rows"))
+
+
+_CODONS = "[strpos('TCAG', substr(c, (3 * i + {k})::BIGINT, 1)) FOR i IN range(length(c) // 3)]"
+
+
+@query(f"""SELECT uid, cdr3_start, list_aggregate([CASE WHEN z[1] > 0 AND z[2] > 0 AND z[3] > 0 THEN substr('{S.AMINO_ACIDS}', (16 * (z[1] - 1) + 4 * (z[2] - 1) + z[3])::BIGINT, 1) ELSE 'X' END FOR z IN list_zip({_CODONS.format(k=1)}, {_CODONS.format(k=2)}, {_CODONS.format(k=3)})], 'string_agg', '') AS aa FROM
+    (SELECT uid, cdr3_start, substr(s, cdr3_start + 1) AS c FROM (SELECT CAST(uid AS BIGINT) AS uid, v || d || j AS s, length(v) % 3 AS cdr3_start FROM {_TEXTS})) WHERE length(c) >= 3""")
+def framed_translation(spark: SparkSession, folder: str) -> DataFrame:
+    """V, D and J translated in the frame in which V ends with a codon, as the CDR3 that follows has it."""
+    rows = _texts(spark, folder).select(F.col("sequence_string_uid").alias("uid"), F.concat("v", "d", "j").alias("s"), (F.length("v") % 3).alias("cdr3_start")).where("length(s) - cdr3_start >= 3")
+    return rows.select("uid", F.col("cdr3_start").cast("bigint").alias("cdr3_start"), S.amino_acids(F.col("s"), F.col("cdr3_start") + 1).alias("aa"))
+
+
+@query("""SELECT DISTINCT CAST(uid AS BIGINT) AS uid, list_sort(list_transform(string_split(v_germline, '*')[1:1], lambda x: x))[1] AS v_gene, dense_rank() OVER (ORDER BY string_split(v_germline, '*')[1]) - 1 AS v_group FROM sequences WHERE uid IS NOT NULL AND v_germline IS NOT NULL""")
+def collapsed_alleles(spark: SparkSession, folder: str) -> DataFrame:
+    """The V gene of each record by a collapse map of the alleles there are: those of one gene are one group, numbered by name."""
+    alleles = materialised(_sequences(spark, folder).where("v_germline IS NOT NULL").select("v_germline", F.element_at(F.split("v_germline", "[*]"), 1).alias("v_gene")).distinct())
+    groups = warehouse.running_totals(alleles.select("v_gene").distinct(), "v_gene", {"v_group": F.lit(1)})
+    rows = _sequences(spark, folder).where("uid IS NOT NULL AND v_germline IS NOT NULL").select("uid", "v_germline").distinct()
+    return rows.join(alleles.join(groups, "v_gene"), "v_germline").select("uid", "v_gene", "v_group").distinct()

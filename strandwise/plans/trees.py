@@ -251,3 +251,19 @@ def lineage_worklists(spark: SparkSession, folder: str) -> DataFrame:
     rows = warehouse.latest(whole, ["uid"], ["datetime_updated", "abundance", "is_deleted", "num_unique_seqs", "mst", "patient_uid"]).where("NOT coalesce(is_deleted, false)").join(aligned, "uid", "left")
     n, mst, a = F.col("num_unique_seqs"), F.coalesce("mst", F.lit(False)), F.coalesce("a", F.lit(False))
     return rows.select("uid", "patient_uid", "clustering_uid", F.col("uid_work_group_64").alias("work_group"), (n > 1).alias("profile"), (a & (n > 1) & (n < 5000)).alias("mst_todo"), a.alias("tree"), (mst & (n > 2)).alias("export_individual"), (~mst & a & (n > 5)).alias("export_unconstrained"))
+
+
+_LINEAGE_ROWS = f"(SELECT DISTINCT s.lineage_uid, s.uid, t.v, t.d, t.j FROM sequences s JOIN {_TEXTS} t ON t.uid = s.sequence_string_uid WHERE s.lineage_uid IS NOT NULL AND s.uid IS NOT NULL)"
+
+
+@query(f"""SELECT CAST(lineage_uid AS BIGINT) AS lineage_uid, CAST(uid AS BIGINT) AS uid, concat(repeat('-', (max(length(v)) OVER w - length(v))::BIGINT), v, d, j, repeat('-', (max(length(j)) OVER w - length(j))::BIGINT)) AS aligned FROM
+    (SELECT * FROM {_LINEAGE_ROWS} UNION ALL SELECT l.lineage_uid, 0, l.v_ref, repeat('-', (SELECT max(length(d)) FROM {_LINEAGE_ROWS} r WHERE r.lineage_uid = l.lineage_uid)::BIGINT), l.j_ref FROM
+      (SELECT l.lineage_uid, coalesce(v.seq, '') AS v_ref, coalesce(j.seq, '') AS j_ref FROM {_GENES} l LEFT JOIN {_GERMLINES} v ON v.gene = 'v' AND v.name = l.v_name LEFT JOIN {_GERMLINES} j ON j.gene = 'j' AND j.name = l.j_name) l WHERE l.lineage_uid IN (SELECT lineage_uid FROM {_LINEAGE_ROWS}))
+    WINDOW w AS (PARTITION BY lineage_uid)""")
+def lineage_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Each lineage's records and its germline stand-in (uid 0): V aligned by its end, J by its start, gaps over the germline's D."""
+    rows = _sequences(spark, folder).where("uid IS NOT NULL AND lineage_uid IS NOT NULL").select("lineage_uid", "uid", "sequence_string_uid")
+    members = rows.join(_texts(spark, folder), "sequence_string_uid").select("lineage_uid", "uid", "v", "d", "j").distinct()
+    gaps = members.groupBy("lineage_uid").agg(F.max(F.length("d")).alias("gap"))
+    germline = _lineage_germlines(spark, folder).join(gaps, "lineage_uid").select("lineage_uid", F.lit(0).cast("bigint").alias("uid"), F.col("v_ref").alias("v"), F.repeat(F.lit("-"), F.col("gap")).alias("d"), F.col("j_ref").alias("j"))
+    return lineages.gapless_alignment(materialised(members.unionByName(germline)), ["lineage_uid"], "v", "d", "j").select("lineage_uid", "uid", "aligned")
