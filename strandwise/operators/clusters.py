@@ -142,16 +142,16 @@ def differing(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 @F.pandas_udf(T.StringType())
-def masked_text(text: pd.Series, scores: pd.Series, least: pd.Series) -> pd.Series:
-    """The text with N where the Phred+33 score is below `least` or there is none; null if the text is null."""
+def masked_text(text: pd.Series, scores: pd.Series, least: pd.Series, mark: pd.Series) -> pd.Series:
+    """The text with the character of code `mark` where the Phred+33 score is below `least` or there is none; null if the text is null."""
     out = []
-    for t, q, cut in zip(text, scores, least, strict=True):
+    for t, q, cut, code in zip(text, scores, least, mark, strict=True):
         if t is None:
             out.append(None)
             continue
         u = np.frombuffer(t.encode("latin-1", "replace"), np.uint8).copy()
         v = np.frombuffer((q or "").encode("latin-1", "replace"), np.uint8)[: len(u)]
-        u[: len(v)][v.astype(np.int64) - 33 < cut] = ord("N")
-        u[len(v) :] = ord("N")
+        u[: len(v)][v.astype(np.int64) - 33 < cut] = code
+        u[len(v) :] = code
         out.append(u.tobytes().decode("latin-1"))
     return pd.Series(out, dtype="object")

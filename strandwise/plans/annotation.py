@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strandwise.functions import sequences as S
 from strandwise.operators import molecules, warehouse
 from strandwise.operators.components import connected_components
-from strandwise.plans.repertoire import _LAST_STRING, _LATEST, CLEAN, UID, Query, _last_strings, _lineages, _sequences
+from strandwise.plans.repertoire import _LAST_SCORES, _LAST_STRING, _LATEST, CLEAN, UID, Query, _last_strings, _lineages, _sequences
 from strandwise.plans.stages import as_bigint, materialised, table
 from strandwise.plans.trees import _GERMLINES, _TEXTS, _germlines, _texts
 
@@ -149,9 +149,6 @@ def downsampled_lineages(spark: SparkSession, folder: str) -> DataFrame:
 
 # Joins and look-ups
 
-_LAST_SCORES = "(SELECT uid, split_part(coalesce(quality_scores, ''), '~', 1) AS q FROM (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY loaded_at DESC NULLS LAST, quality_scores DESC NULLS LAST) AS r FROM quality_scores WHERE uid IS NOT NULL) WHERE r = 1)"
-
-
 @query(f"""SELECT CAST(s.uid AS BIGINT) AS uid, s.datetime_updated::TIMESTAMP AS datetime_updated, s.reads_per_molecule, length(t.v_seq) AS n_v, length(x.q) AS n_scores FROM sequences s JOIN {_LAST_STRING} t ON t.uid = s.sequence_string_uid JOIN {_LAST_SCORES} x ON x.uid = s.quality_score_uid""")
 def parsed_with_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Records with their strings and the scores of their first molecule; a record without either is left out."""

@@ -193,19 +193,30 @@ def no_isotype_call(spark: SparkSession, folder: str) -> DataFrame:
 
 # Reads and molecules
 
-QUALITY_LETTERS = "#)+-/159=?ADFHIJ"
-_READS = f"""(SELECT CAST(uid AS BIGINT) AS pair_no, s, substr(s, 1, 60) AS seq1, translate(reverse(substr(s, length(s) - 59, 60)), 'ACGT', 'TGCA') AS seq2,
-    substr(translate(concat(md5(concat('a', k)), md5(concat('b', k))), '0123456789abcdef', '{QUALITY_LETTERS}'), 1, 60) AS qual1, concat(substr(s, 1, 4), substr(s, length(s) - 3, 4)) AS barcode
-    FROM (SELECT uid, CAST(uid AS VARCHAR) AS k, min({CLEAN.format('v_seq')}) AS s FROM sequence_strings WHERE uid IS NOT NULL GROUP BY uid) WHERE length(s) >= 120)"""
+_LAST_STRING = "(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY loaded_at DESC NULLS LAST, v_seq DESC NULLS LAST, c_seq DESC NULLS LAST) AS r FROM sequence_strings WHERE uid IS NOT NULL) WHERE r = 1)"
+_LAST_SCORES = "(SELECT uid, split_part(coalesce(quality_scores, ''), '~', 1) AS q FROM (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY loaded_at DESC NULLS LAST, quality_scores DESC NULLS LAST) AS r FROM quality_scores WHERE uid IS NOT NULL) WHERE r = 1)"
+#: Bases of a mate, and those of the barcode at each end.
+MATE, BARCODE = 250, 4
+#: A place of two reads differs only where both scores are above this, and reads of a barcode belong together up to so many such places.
+TRUSTED_SCORE, MOST_MISMATCHES = 20, 6
+_READS = f"""(SELECT pair_no, substr(s, 1, {MATE}) AS seq1, substr(q, 1, {MATE}) AS qual1, translate(reverse(right(s, {MATE})), 'ACGT', 'TGCA') AS seq2, reverse(right(q, {MATE})) AS qual2, concat(left(s, {BARCODE}), right(s, {BARCODE})) AS barcode FROM
+    (SELECT CAST(t.uid AS BIGINT) AS pair_no, t.s, rpad(substr(coalesce(x.q, ''), 1, length(t.s)), length(t.s)::INTEGER, '#') AS q FROM (SELECT uid, {" || ".join(CLEAN.format(f"{c}_seq") for c in "vdjc")} AS s FROM {_LAST_STRING}) t LEFT JOIN {_LAST_SCORES} x ON x.uid = t.uid WHERE t.s <> ''))"""
+
+
+def _last_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """(uid, q): the scores of the first molecule of each uid's latest row."""
+    rows = warehouse.latest(table(spark, folder, "quality_scores").where("uid IS NOT NULL").withColumn("uid", as_bigint("uid")), ["uid"], ["loaded_at", "quality_scores"])
+    return rows.select("uid", F.element_at(F.split(F.coalesce("quality_scores", F.lit("")), "~"), 1).alias("q"))
 
 
 def reads(spark: SparkSession, folder: str) -> DataFrame:
-    """Paired reads cut from the ends of the V strings, one pair per uid, with scores made of the uid's hash."""
-    rows = _strings(spark, folder).where("uid IS NOT NULL").groupBy("uid").agg(F.min(S.clean_bases(F.col("v_seq"))).alias("s")).where("length(s) >= 120")
-    k = F.col("uid").cast("string")
-    scores = F.translate(F.concat(F.md5(F.concat(F.lit("a"), k)), F.md5(F.concat(F.lit("b"), k))), "0123456789abcdef", QUALITY_LETTERS)
-    end = lambda n: F.right("s", F.lit(n))
-    return rows.select(F.col("uid").alias("pair_no"), "s", F.substring("s", 1, 60).alias("seq1"), S.reverse_complement(end(60)).alias("seq2"), F.substring(scores, 1, 60).alias("qual1"), F.concat(F.substring("s", 1, 4), end(4)).alias("barcode"))
+    """(pair_no, seq1, qual1, seq2, qual2, barcode): the sequenced ends of each molecule's latest string with their scores, # where there are none; the warehouse keeps no raw reads."""
+    strings = _last_strings(spark, folder).select("uid", F.concat(*(S.clean_bases(F.col(f"{c}_seq")) for c in "vdjc")).alias("s")).where("s <> ''")
+    rows = strings.join(_last_scores(spark, folder), "uid", "left")
+    q = F.rpad(F.left(F.coalesce("q", F.lit("")), F.length("s")), F.length("s"), F.lit("#"))
+    rows = rows.select(F.col("uid").alias("pair_no"), "s", q.alias("q"))
+    end = lambda c: F.right(c, F.lit(MATE))
+    return rows.select("pair_no", F.substring("s", 1, MATE).alias("seq1"), F.substring("q", 1, MATE).alias("qual1"), S.reverse_complement(end("s")).alias("seq2"), F.reverse(end("q")).alias("qual2"), F.concat(F.left("s", F.lit(BARCODE)), F.right("s", F.lit(BARCODE))).alias("barcode"))
 
 
 @query(f"SELECT barcode, row_number() OVER (ORDER BY first_seen) - 1 AS uid, coverage FROM (SELECT barcode, min(pair_no) AS first_seen, count(*) AS coverage FROM {_READS} GROUP BY barcode)")
@@ -219,34 +230,58 @@ def reads_per_molecule(spark: SparkSession, folder: str) -> DataFrame:
     return per.groupBy("coverage").agg(F.count("*").alias("n_barcodes"), (F.col("coverage") * F.count("*")).alias("n_reads"))
 
 
-_PAIRS = f"""(SELECT a.barcode, a.pair_no AS i, b.pair_no AS j, hamming(a.seq1, b.seq1) AS d FROM {_READS} a JOIN {_READS} b ON a.barcode = b.barcode AND a.pair_no < b.pair_no)"""
+_MATES = f"(SELECT barcode, pair_no, concat(seq1, '~~~~', seq2) AS m, concat(qual1, '~~~~', qual2) AS q FROM {_READS})"
+_PAIRS = f"""(SELECT a.barcode, a.pair_no AS i, b.pair_no AS j, list_sum([CASE WHEN substr(a.m, p, 1) <> substr(b.m, p, 1) AND ascii(substr(a.q, p, 1)) - 33 > {TRUSTED_SCORE} AND ascii(substr(b.q, p, 1)) - 33 > {TRUSTED_SCORE} THEN 1 ELSE 0 END FOR p IN range(1, least(length(a.m), length(b.m)) + 1)])::BIGINT AS d
+    FROM {_MATES} a JOIN {_MATES} b ON a.barcode = b.barcode AND a.pair_no < b.pair_no)"""
+
+
+def _mates(spark: SparkSession, folder: str) -> DataFrame:
+    """(barcode, pair_no, m): both mates as one text, without the bases whose scores can't be trusted."""
+    joined = lambda c: F.concat(f"{c}1", F.lit("~~~~"), f"{c}2")
+    rows = reads(spark, folder).select("barcode", "pair_no", clusters.masked_text(joined("seq"), joined("qual"), F.lit(TRUSTED_SCORE + 1), F.lit(0)).alias("m"))
+    return materialised(rows)
 
 
-@query(f"SELECT barcode, i, j, d FROM {_PAIRS} WHERE d <= 6")
+@query(f"SELECT barcode, i, j, d FROM {_PAIRS} WHERE d <= {MOST_MISMATCHES}")
 def barcode_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    rows = materialised(reads(spark, folder).select("barcode", "pair_no", "seq1"))
-    near = clusters.distances(rows, ["barcode"], "pair_no", "seq1", 7, masking=False).select("i", "j", F.col("d").cast("bigint").alias("d"))
+    rows = _mates(spark, folder)
+    near = clusters.distances(rows, ["barcode"], "pair_no", "m", MOST_MISMATCHES + 1, masking=False).select("i", "j", F.col("d").cast("bigint").alias("d"))
     return near.join(rows.select("barcode", F.col("pair_no").alias("i")), "i").select("barcode", "i", "j", "d")
 
 
-@query(f"""WITH RECURSIVE e AS (SELECT i AS a, j AS b FROM {_PAIRS} WHERE d <= 6 UNION SELECT j, i FROM {_PAIRS} WHERE d <= 6), r AS (SELECT a AS node, a AS g FROM e UNION SELECT e.b, r.g FROM r JOIN e ON e.a = r.node)
-    SELECT p.pair_no, p.barcode, coalesce(g.label, p.pair_no) AS label FROM {_READS} p LEFT JOIN (SELECT node, min(g) AS label FROM r GROUP BY node) g ON g.node = p.pair_no""")
+@query(f"""WITH RECURSIVE l AS (SELECT i, j FROM {_PAIRS} WHERE d <= {MOST_MISMATCHES}), e AS (SELECT i AS a, j AS b FROM l UNION SELECT j, i FROM l), r AS (SELECT a AS node, a AS g FROM e UNION SELECT e.b, r.g FROM r JOIN e ON e.a = r.node),
+    k AS (SELECT p.pair_no, p.barcode, coalesce(g.label, p.pair_no) AS label FROM {_READS} p LEFT JOIN (SELECT node, min(g) AS label FROM r GROUP BY node) g ON g.node = p.pair_no),
+    z AS (SELECT barcode, label, count(*) AS n, row_number() OVER (PARTITION BY barcode ORDER BY label) - 1 AS label_no, count(*) OVER (PARTITION BY barcode) AS n_groups FROM k GROUP BY barcode, label)
+    SELECT k.pair_no, k.barcode, k.label, CASE WHEN z.n_groups = 1 THEN concat(k.barcode, '_', z.n) ELSE concat(k.barcode, '_', z.label_no, '_', z.n) END AS new_id FROM k JOIN z USING (barcode, label)""")
 def barcode_split(spark: SparkSession, folder: str) -> DataFrame:
-    rows = materialised(reads(spark, folder).select("pair_no", "barcode", "seq1"))
-    labels = clusters.linkage(rows, ["barcode"], "pair_no", "seq1", 7, masking=False)
-    return rows.select("pair_no", "barcode").join(labels.withColumnRenamed("key", "pair_no"), "pair_no")
-
-
-_LOG = " , ".join(f"round(coalesce(sum(CASE WHEN base IN ('A', 'C', 'G', 'T') THEN CASE WHEN base = '{b}' THEN ln(greatest(1 - e, 1e-300)) ELSE ln(greatest(e / 3, 1e-300)) END END), 0), 9) AS l{b}" for b in "ACGT")
-
-
-@query(f"""SELECT barcode, string_agg(CASE WHEN la = t THEN 'A' WHEN lc = t THEN 'C' WHEN lg = t THEN 'G' ELSE 'T' END, '' ORDER BY pos) AS consensus,
-    string_agg(chr(round(33 + CASE WHEN o <= 0 THEN 75.0 ELSE least(75.0, -10 * log10(o)) END)::INTEGER), '' ORDER BY pos) AS quality, any_value(n_reads) AS n_reads FROM
-    (SELECT *, greatest(la, lc, lg, lt) AS t, (exp(la - t) + exp(lc - t) + exp(lg - t) + exp(lt - t)) AS z, (z - 1) / z AS o FROM
-     (SELECT barcode, pos, any_value(n) AS n_reads, {_LOG} FROM (SELECT barcode, n, pos, substr(seq1, pos, 1) AS base, pow(10.0, -(ascii(substr(qual1, pos, 1)) - 33) / 10.0) AS e FROM
-      (SELECT *, count(*) OVER (PARTITION BY barcode) AS n, unnest(range(1, 61)) AS pos FROM {_READS})) GROUP BY barcode, pos)) GROUP BY barcode""")
+    """The molecules that share a barcode: groups of reads that differ in few trusted places, named by their number and size."""
+    rows = _mates(spark, folder)
+    labels = materialised(rows.select("pair_no", "barcode").join(clusters.linkage(rows, ["barcode"], "pair_no", "m", MOST_MISMATCHES + 1, masking=False).withColumnRenamed("key", "pair_no"), "pair_no"))
+    sizes = labels.groupBy("barcode", "label").agg(F.count("*").alias("n"))
+    numbered = materialised(warehouse.numbered_by_ranges(sizes, "barcode", "label", "label_no"))
+    whole = numbered.groupBy("barcode").agg(F.count("*").alias("n_groups"))
+    name = F.when(F.col("n_groups") == 1, F.concat_ws("_", "barcode", F.col("n").cast("string"))).otherwise(F.concat_ws("_", "barcode", F.col("label_no").cast("string"), F.col("n").cast("string")))
+    named = numbered.join(whole, "barcode").select("label", name.alias("new_id"))
+    return labels.join(named, "label").select("pair_no", "barcode", "label", "new_id")
+
+
+_SUMS = " , ".join(f"sum(CASE WHEN base IN ('A', 'C', 'G', 'T') THEN CASE WHEN base = '{b}' THEN ln(greatest(1 - e, 1e-300)) ELSE ln(greatest(e / 3, 1e-300)) END ELSE 0 END) AS l{b}" for b in "ACGT")
+_MATE_SUMS = """(SELECT barcode, pos, {l} FROM (SELECT barcode, pos, substr(s, pos, 1) AS base, pow(10.0, -(ascii(substr(q, pos, 1)) - 33) / 10.0) AS e FROM (SELECT barcode, {s} AS s, {q} AS q, unnest(range(1, length({s}) + 1)) AS pos FROM {r})) GROUP BY barcode, pos)"""
+_M1, _M2 = (_MATE_SUMS.format(l=_SUMS, s=f"seq{k}", q=f"qual{k}", r=_READS) for k in "12")
+_ROUNDED = ", ".join(f"round(l{b}, 9) AS l{b}" for b in "ACGT")
+_CALLED = "(SELECT barcode, pos, CASE WHEN lA = t THEN 'A' WHEN lC = t THEN 'C' WHEN lG = t THEN 'G' ELSE 'T' END AS b, (exp(lA - t) + exp(lC - t) + exp(lG - t) + exp(lT - t)) AS z FROM (SELECT *, greatest(lA, lC, lG, lT) AS t FROM (SELECT barcode, pos, " + _ROUNDED + " FROM {m})))"
+_TEXT_OF = "(SELECT barcode, string_agg(b, '' ORDER BY pos) AS s FROM " + _CALLED + " GROUP BY barcode)"
+
+
+@query(f"""WITH m1 AS {_M1}, m2 AS {_M2}, c1 AS {_TEXT_OF.format(m='m1')}, c2 AS (SELECT barcode, translate(reverse(s), 'ACGT', 'TGCA') AS s FROM {_TEXT_OF.format(m='m2')}),
+    o AS (SELECT barcode, n1, n2, list_min([struct_pack(d := round(hamming(right(s1, k), left(s2, k)) / k::DOUBLE, 9), k := -k) FOR k IN range({molecules.LEAST_OVERLAP}, least(n1, n2) + 1)]) AS b FROM (SELECT barcode, c1.s AS s1, c2.s AS s2, length(c1.s) AS n1, length(c2.s) AS n2 FROM c1 JOIN c2 USING (barcode))),
+    w AS (SELECT barcode, n1 + n2 + b.k AS n FROM o WHERE b.d <= {molecules.MOST_DENSITY}),
+    j AS (SELECT barcode, pos, sum(lA) AS lA, sum(lC) AS lC, sum(lG) AS lG, sum(lT) AS lT FROM (SELECT barcode, pos, lA, lC, lG, lT FROM m1 UNION ALL SELECT m2.barcode, w.n - m2.pos + 1, m2.lT, m2.lG, m2.lC, m2.lA FROM m2 JOIN w USING (barcode)) GROUP BY barcode, pos)
+    SELECT c.barcode, any_value(w.n) AS merged_length, string_agg(c.b, '' ORDER BY c.pos) AS consensus, string_agg(chr(round(33 + CASE WHEN z <= 1 THEN 75.0 ELSE least(75.0, -10 * log10((z - 1) / z)) END)::INTEGER), '' ORDER BY c.pos) AS quality, any_value(r.n) AS n_reads
+    FROM {_CALLED.format(m='j')} c JOIN w USING (barcode) JOIN (SELECT barcode, count(*) AS n FROM {_READS} GROUP BY barcode) r USING (barcode) WHERE c.pos BETWEEN 1 AND w.n GROUP BY c.barcode""")
 def consensus(spark: SparkSession, folder: str) -> DataFrame:
-    return molecules.consensus(reads(spark, folder), "barcode", "seq1", "qual1")
+    """The likeliest sequence of each barcode by both mates on one canvas, as long as their consensus merge to; molecules whose mates don't overlap are left out."""
+    return molecules.pair_consensus(reads(spark, folder), "barcode")
 
 
 _VDJ = f"concat({CLEAN.format('v_seq')}, {CLEAN.format('d_seq')}, {CLEAN.format('j_seq')})"
@@ -348,7 +383,7 @@ def _whole(spark: SparkSession, folder: str) -> DataFrame:
     gene = lambda c: F.min(F.element_at(F.split(c, "[*]"), 1))
     each = _sequences(spark, folder).where("uid IS NOT NULL").groupBy("uid").agg(F.min("patient_uid").alias("patient_uid"), gene("v_germline").alias("v_gene"), gene("j_germline").alias("j_gene"), F.min("cdr3_length").alias("cdr3_length"), F.min("sequence_string_uid").alias("string_uid"), F.min("quality_score_uid").alias("score_uid"))
     rows = each.where(" AND ".join(f"{c} IS NOT NULL" for c in _WHOLE_BLOCK)).join(strings, "string_uid").join(scores, "score_uid", "left")
-    seq = clusters.masked_text(F.concat("v", "dj"), F.element_at(F.split(F.coalesce("q", F.lit("")), "~"), 1), F.lit(LEAST_SCORE))
+    seq = clusters.masked_text(F.concat("v", "dj"), F.element_at(F.split(F.coalesce("q", F.lit("")), "~"), 1), F.lit(LEAST_SCORE), F.lit(ord("N")))
     rows = materialised(rows.select("uid", *_WHOLE_BLOCK, F.length("v").alias("n"), seq.alias("m")).withColumn("block", F.struct(*_WHOLE_BLOCK)))
     widths = rows.groupBy("block").agg(F.greatest(F.max("n"), F.lit(1)).alias("width"))
     placed = rows.join(widths, "block")
@@ -476,7 +511,6 @@ def param_grid(spark: SparkSession, folder: str) -> DataFrame:
 # Selections that the trees start from
 
 _ALIVE = f"(SELECT * FROM {_LATEST} WHERE NOT coalesce(is_deleted, false))"
-_LAST_STRING = "(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY loaded_at DESC NULLS LAST, v_seq DESC NULLS LAST, c_seq DESC NULLS LAST) AS r FROM sequence_strings WHERE uid IS NOT NULL) WHERE r = 1)"
 
 
 def _last_strings(spark: SparkSession, folder: str) -> DataFrame:

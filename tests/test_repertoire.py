@@ -38,6 +38,29 @@ def test_consensus(spark):
     assert got == {"m": ("A", 55, 3), "n": ("A", 1, 1)}
 
 
+def test_pair_consensus(spark, monkeypatch):
+    """Both mates on one canvas, in one piece or added up in chunks; mates that don't overlap, and nulls, give no row."""
+    rng = random.Random(5)
+    text = "".join(rng.choice("ACGT") for _ in range(60))
+    turned = text[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    rows = [("m", i, text[:40], "I" * 40, turned[:40], "I" * 40, 1) for i in range(6)]
+    rows[2] = ("m", 2, "T" * 40, "#" * 40, turned[:40], "I" * 40, 1)
+    rows += [("far", 9, "ACGT" * 5, "I" * 20, "C" * 20, "I" * 20, 1), ("null", 10, None, "I", "A", "I", 1), (None, 11, "A", "I", "A", "I", 1), ("none", 12, "", "", "", "", 1)]
+    frame = spark.createDataFrame(rows, "k string, pair_no long, seq1 string, qual1 string, seq2 string, qual2 string, n long")
+    for size in (256, 2):
+        monkeypatch.setattr(molecules, "CHUNK", size)
+        (got,) = molecules.pair_consensus(frame, "k").collect()
+        assert (got["k"], got["merged_length"], got["consensus"], got["n_reads"]) == ("m", 60, text, 6) and set(got["quality"]) == {chr(33 + 75)}
+    assert molecules.pair_consensus(frame.limit(0), "k").count() == 0
+
+
+def test_variable_ends(spark):
+    base = "ACGTTGCAGGATCCATTACGACGTTGCAGGATCCATTACG"
+    texts = [base, base[4:], base[:-4], "GGGG" + base, "TTTT" + base[4:], "ACGT" * 12, "AC"]
+    got = {r["seq"]: (r["n_variants"], r["longest"]) for r in molecules.merge_variable_ends(spark.createDataFrame([(t,) for t in [*texts, None]], "s string"), "s", 4).collect()}
+    assert got == {min(base[4:], base[:-4]): (5, 44), "ACGT" * 12: (1, 48), "AC": (1, 2)}
+
+
 def test_blocks(spark):
     rows = spark.createDataFrame([(1, "b", "AAAA"), (2, "b", "AAAC"), (3, "b", "AACC"), (4, "c", "AAAA"), (5, None, "AAAA"), (6, "b", "NNNN")], "uid long, b string, s string")
     labels = {r["key"]: r["label"] for r in clusters.linkage(rows, ["b"], "uid", "s", 0.3).collect()}
