@@ -184,12 +184,12 @@ def count_differing(a: Column, b: Column, skip: str = "N") -> Column:
 
 
 def sliding_similarity(a: Column, b: Column, most: int) -> Column:
-    """The best share of equal places of two texts, one shifted by up to `most` places either way; null if they never overlap."""
+    """The best share of equal places of two texts, one shifted by up to `most` places either way; null if they never overlap or one is null."""
 
     def at(o: int) -> Column:
         x, y = F.substring(a, F.lit(max(o, 0) + 1), F.length(a)), F.substring(b, F.lit(max(-o, 0) + 1), F.length(b))
         n = F.least(F.length(x), F.length(y))
-        return F.when(n > 0, 1 - count_differing(F.left(x, n), F.left(y, n), "") / n)
+        return F.when(a.isNotNull() & b.isNotNull() & (n > 0), 1 - count_differing(F.left(x, n), F.left(y, n), "") / n)
 
     return F.greatest(*(at(o) for o in range(-most, most + 1)))
 
