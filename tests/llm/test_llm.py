@@ -98,6 +98,27 @@ def test_near_duplicates(spark, molecules):
     assert sum(links.values()) == 2 * found.links.count()
 
 
+def test_no_pair_at_the_threshold_is_left_out(spark, monkeypatch):
+    """Pairs with as many edits as the threshold allows, of texts with common ends, are all found, in one block or many and with uncalled bases in every 24."""
+    rng, rows = random.Random(29), []
+    ends = ["".join(rng.choice("ACGT") for _ in range(40)) for _ in range(2)]
+    for k in range(60):
+        v = "".join(rng.choice("ACGT") for _ in range(rng.choice([110, 250, 260])))
+        for edits in (0, len(v) // 10, len(v) // 10 + 3):
+            rows.append((len(rows), mutated(rng, v, edits), None, ends[k % 2], "", 1, ""))
+    v = "".join(rng.choice("ACGT") for _ in range(250))
+    holed = "".join("N" if i % 23 == 22 else c for i, c in enumerate(v))
+    rows += [(len(rows), v, None, ends[0], "", 1, ""), (len(rows) + 1, holed, None, ends[0], "", 1, "")]
+    truth = true_pairs(rows)
+    assert len(truth) > 60
+    for block in (near_duplicates.BLOCK, 20):
+        monkeypatch.setattr(near_duplicates, "BLOCK", block)
+        found = NearDuplicates(spark.createDataFrame(rows, STRINGS), "uid", ["v", "d", "j"])
+        assert {tuple(r) for r in found.similar_uids().collect()} == truth
+    some = NearDuplicates(spark.createDataFrame(rows, STRINGS), "uid", ["v", "d", "j"], complete=False)
+    assert {tuple(r) for r in some.similar_uids().collect()} < truth
+
+
 def test_search_by_blocks_finds_the_same_pairs():
     rng = np.random.default_rng(2)
     window = rng.integers(0, 40, 500).astype(np.uint64) * np.uint64(5)
