@@ -248,6 +248,16 @@ def plain_words(text):
     return re.findall(r"[^\W_]+", re.sub(r"(?<=[a-z])-\n(?=[a-z])", "", text).casefold())
 
 
+def test_words_are_those_of_the_rules_character_by_character():
+    """Invisible characters of all planes and all hyphens at line ends are dropped as a test of each character would, and hashes are those of the words."""
+    texts = ["a\u200bb c\u00add \U000e0041e\u2066 ﬁx Straße", "vor-\n  aus wei‐\r\nter no‑ \t\n\nch -\nx 1-\n2 _-\na a--\nb", "plain words only", "ÉLAN e\u0301lan-\n\u00e9", "", None]
+    for text in texts:
+        t = "".join(c for c in unicodedata.normalize("NFKC", text or "") if c.isascii() or unicodedata.category(c) != "Cf")
+        t = re.sub(r"(?<=[^\W\d_])[-‐‑][ \t]*[\r\n]+\s*(?=[^\W\d_])", "", t)
+        assert leakage.words(text) == re.findall(r"[^\W_]+", unicodedata.normalize("NFKC", t.casefold()))
+        assert leakage.word_hashes(text).tolist() == [leakage.xxhash.xxh32_intdigest(w) for w in leakage.words(text)]
+
+
 def test_leaks(spark):
     rng = random.Random(7)
     vocabulary = [f"word{i}" for i in range(300)] + ["élan", "straße"]
