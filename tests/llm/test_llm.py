@@ -183,6 +183,18 @@ def test_survivors(spark):
         assert surviving(spark, [], fullest) == {}
 
 
+def test_the_fullest_row_needs_no_consensus(spark, monkeypatch):
+    """The consensus can't change which row has most called tokens, so it isn't made for that; the row is the one that survivors takes."""
+    rng = random.Random(31)
+    rows = [(k, 10 * k + i, rng.choice([*T, None]), mutated(rng, "ACGT" * 8, 3)[: rng.randrange(20, 33)], "", "", 0) for k in range(20) for i in range(5)]
+    values = consensus.field_values(spark.createDataFrame(rows, RECORDS), ["k"], {"v": consensus.base_tokens("v")})
+    want = {k: r["uid"] for k, r in surviving(spark, rows, True).items()}
+    late = lambda r: -r[2].timestamp() if r[2] else 0
+    assert want == {k: min((r for r in rows if r[0] == k), key=lambda r: (-len(r[3]), late(r), r[1]))[1] for k in range(20)}
+    monkeypatch.delattr(consensus, "consensus")
+    assert {r["key"]["k"]: r["uid"] for r in consensus.fullest_rows(values).collect()} == want
+
+
 def test_gaps_vote_and_the_consensus_decides(spark):
     """A base that one copy inserts is outvoted, a cut end isn't; the fuller value of a group can be further from its consensus."""
     true = "ACGTTGCAGGATCCATTACG"
