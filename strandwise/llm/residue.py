@@ -11,6 +11,7 @@ every document, and a document is residue if it has a passage that more likely i
 from __future__ import annotations
 
 import functools
+import itertools
 import math
 import re
 import unicodedata
@@ -36,6 +37,8 @@ ROUNDS = 8
 SMOOTHING = 1.0
 #: Log odds from which a passage is residue.
 THRESHOLD = 0.0
+#: By how much a bound may fall short of the log odds, since sums are rounded.
+ROUNDED = 1e-6
 #: Characters of a word's beginning that are a feature of their own, in longer words, and what the words' features then count.
 STEM = 5
 STEMMED = 0.75
@@ -44,11 +47,11 @@ KEPT_WORDS = 500_000
 
 #: Quotations within a paragraph, of any length. A straight mark opens before a word or bracket and not behind a letter, and closes behind no space.
 _INSIDE = r"[^{0}\n]*(?:\n(?!\s*\n)[^{0}\n]*)*"
-_QUOTED = re.compile("|".join((rf"(?<!\w)\"(?=\S){_INSIDE.format('\"')}(?<=\S)\"(?!\w)", *(o + _INSIDE.format(o + c) + f"[{c}]" for o, c in ("“”", ("„", "“”"), "«»")))))
-_MARKS = frozenset('"“„«')
-#: Slots: fixed values, the delimiters of common template languages, brackets, and the empty values of common programs.
+_QUOTED = re.compile("|".join((rf"\"(?<!\w\")(?=\S){_INSIDE.format('\"')}(?<=\S)\"(?!\w)", *(o + _INSIDE.format(o + c) + f"[{c}]" for o, c in ("“”", ("„", "“”"), "«»")))))
+_MARKS = '"“„«'
+#: Slots: fixed values, the delimiters of common template languages, brackets, and the empty values of common programs. Every alternative begins with a literal, so the engine looks for those characters only.
 _FIELD = re.compile(
-    r"\{\{[^{}]*\}\}|\{%[^%]*%\}|[$#]\{[^{}]*\}|<%[^%]*%>|<<[^<>]+>>|\[\[[^\[\]]+\]\]|%%\w+%%|@@\w+@@|\$[A-Z][A-Z_]+\$"
+    r"\{\{[^{}]*\}\}|\{%[^%]*%\}|\$\{[^{}]*\}|#\{[^{}]*\}|<%[^%]*%>|<<[^<>]+>>|\[\[[^\[\]]+\]\]|%%\w+%%|@@\w+@@|\$[A-Z][A-Z_]+\$"
     r"|\[[^\[\]\n]+\]|<[A-Za-z][A-Za-z _]+>|\{[A-Za-z][\w .]+\}|__[A-Za-z]\w+?__"
 )
 _TEMPLATE = ("{{", "{%", "${", "#{", "<%", "<<", "[[", "%%", "@@", "$")
@@ -142,7 +145,7 @@ def _parts(text: str | None) -> tuple[list[tuple[bool, list[str], float]], list[
         if not unicodedata.is_normalized("NFC", text):
             text = unicodedata.normalize("NFC", text)
         text = _INVISIBLE.sub("", text)
-    if not _MARKS.isdisjoint(text):
+    if any(mark in text for mark in _MARKS):
         text = _QUOTED.sub(" ", text)
     fields = []
     if any(e in text for e in _EMPTY):
@@ -229,6 +232,27 @@ class _Most(dict):
         return most
 
 
+_ZEROS = itertools.repeat(0.0)
+
+
+class _Pairs:
+    """What pairs can add to the log odds at most, by their first word and by their second."""
+
+    def __init__(self, weights: dict[str, float]) -> None:
+        self.first: dict[str, float] = {}
+        self.second: dict[str, float] = {}
+        for f, w in weights.items():
+            a, _, b = f.partition(" ")
+            if b and w > 0:
+                self.first[a] = max(self.first.get(a, 0.0), w)
+                self.second[b] = max(self.second.get(b, 0.0), w)
+
+    def most(self, words: list[str]) -> tuple[float, float]:
+        """What the pairs of a sentence can add by both of their words, and by the first ones alone."""
+        first = [*map(self.first.get, words, _ZEROS)]
+        return sum(map(min, first, map(self.second.get, words[1:], _ZEROS))), sum(first)
+
+
 class Model:
     """Log odds of residue by feature, and before any feature is seen."""
 
@@ -239,6 +263,10 @@ class Model:
     def most(self) -> _Most:
         return _Most(self.weights)
 
+    @functools.cached_property
+    def pairs(self) -> _Pairs:
+        return _Pairs(self.weights)
+
     def score(self, features: set[str] | list[str], scale: float) -> float:
         get = self.weights.get
         return self.prior + scale * sum([get(f, 0.0) for f in features])
@@ -247,12 +275,18 @@ class Model:
         """The number of a text's passages, and the log odds of those that are residue or might be."""
         fields, sentences = _parts(text)
         out = [self.score(f, scale) for _, f, scale in fields]
-        most, get, prior = self.most.__getitem__, self.weights.get, self.prior - THRESHOLD
+        most, pairs, get, prior = self.most.__getitem__, self.pairs.most, self.weights.get, self.prior - THRESHOLD
         for _, words, place in sentences:
             n = len(words)
+            scale, placed = STEMMED * n / (2 * n - 1), sum([get(p, 0.0) for p in place])
             # A sentence that couldn't be residue even with the best pairs doesn't need its pairs.
-            if prior + STEMMED * n / (2 * n - 1) * (sum(map(most, words)) + sum([get(p, 0.0) for p in place])) > 0:
-                out.append(self.score(*_features(words, place)))
+            bound = sum(map(most, words)) + placed
+            if prior + scale * bound > 0:
+                paired, begun = pairs(words)
+                if prior + scale * (bound - begun + paired) > -ROUNDED:
+                    single = sum([get(f, 0.0) for f in {*words, *[f"^{w[:STEM]}" for w in words if len(w) > STEM]}])
+                    if prior + scale * (single + placed + paired) > -ROUNDED:
+                        out.append(self.score(*_features(words, place)))
         return len(fields) + len(sentences), out
 
 

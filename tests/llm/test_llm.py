@@ -390,6 +390,21 @@ def test_the_model_decides(spark):
     assert found == {*range(40), *range(100, 130)}
 
 
+def test_sentences_that_cannot_be_residue_are_not_scored(monkeypatch):
+    """The bound takes a pair by both of its words, and lets through every sentence that is residue."""
+    rng, words = random.Random(31), "alpha beta gamma delta epsilon epsilonic zeta".split()
+    scored, score = [], residue.Model.score
+    monkeypatch.setattr(residue.Model, "score", lambda self, *of: scored.append(of) or score(self, *of))
+    model = residue.Model(-4.0, {"alpha beta": 9.0, "gamma": 0.5})
+    assert model.odds("Alpha gamma alpha delta alpha zeta.") == (1, []) and not scored
+    assert model.odds("Zeta alpha beta.")[1][0] > 0 and scored
+    for _ in range(300):
+        weights = {f: rng.uniform(-2, 2) for f in (*words, "^epsil", *(f"{a} {b}" for a in words for b in words)) if rng.random() < 0.6}
+        model, text = residue.Model(-0.5, weights), ". ".join(" ".join(rng.choices(words, k=rng.randrange(1, 9))) for _ in range(3))
+        want = sorted(x for _, features, scale in residue.passages(text) if (x := score(model, features, scale)) > 0)
+        assert sorted(x for x in model.odds(text)[1] if x > 0) == pytest.approx(want)
+
+
 def test_every_trusted_passage_has_a_trigger():
     texts = ["Error 404", "502 Bad Gateway", "Access denied", "Server unavailable", "Your session timed out", "Unable to open this page", "Stack trace:", "Turn on cookies", "Scripts are blocked", "Blah blah", "Sample text", "TBA", "To be inserted", "Fehler 500", "Fülltext", "Die Seite ist derzeit nicht verfügbar", "Erreur 500", "Page temporairement indisponible", "À compléter"]
     texts += ["{{ a }}", "{% a %}", "${a}", "<% a %>", "<<a>>", "[[a]]", "%%A%%", "@@A@@", "$AB$", "[object Object]", "Invalid Date", "undefined", "[DATE ???]", "[insert a]", "<enter name>", "[bitte eintragen: a]"]
