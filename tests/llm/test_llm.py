@@ -119,6 +119,21 @@ def test_no_pair_at_the_threshold_is_left_out(spark, monkeypatch):
     assert {tuple(r) for r in some.similar_uids().collect()} < truth
 
 
+def test_signatures_in_parts(monkeypatch):
+    """A bit for each run of called bases, however many texts are worked on at a time; of texts shorter than a run, none."""
+    gram = near_duplicates.GRAM
+    codes = np.random.default_rng(7).choice(5, (23, 40), p=[0.24, 0.24, 0.24, 0.24, 0.04]).astype(np.uint8)
+    want = np.zeros((23, 4**gram), bool)
+    for k, row in enumerate(codes.tolist()):
+        for at in range(40 - gram + 1):
+            if 4 not in (run := row[at : at + gram]):
+                want[k, int("".join(map(str, run)), 4)] = True
+    for many in (5, 23, 1000):
+        monkeypatch.setattr(near_duplicates, "AT_ONCE", many)
+        assert (np.unpackbits(near_duplicates._signature(codes).view(np.uint8), axis=1) == want).all()
+    assert not near_duplicates._signature(codes[:, : gram - 1]).any() and near_duplicates._signature(codes[:0]).shape == (0, 4**gram // 64)
+
+
 def test_search_by_blocks_finds_the_same_pairs():
     rng = np.random.default_rng(2)
     window = rng.integers(0, 40, 500).astype(np.uint64) * np.uint64(5)
