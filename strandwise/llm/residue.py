@@ -21,6 +21,7 @@ from itertools import pairwise
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,7 +60,7 @@ _EMPTY = ("[object Object]", "Invalid Date", "undefined", "null", "NaN", "None")
 _EMPTY_FIELD = re.compile(r"\[object Object\]|\bInvalid Date\b|\bundefined\b|\bnull\b|\bNaN\b|\bNone\b(?!\s+[a-z])")
 _SLOT_WORD = re.compile(r"\?\?\?|^\W*(?:please |bitte |veuillez )?(?:insert|enter|fill in|einsetzen|einfügen|eintragen|insérer|inscrire|compléter|à compléter)\b", re.I)
 _WORD = re.compile(r"[^\W\d_]+|\d+")
-_SENTENCE = re.compile(r"(?<=[.!?…;>])\s+")
+_SENTENCE = re.compile(r"[.!?…;>]\s+")
 #: Trusted sentences by kind, fixed values: the usual first words of messages of servers, programs and browsers, and of stand-in text. Sentences that only report such words don't begin with them.
 _BEGIN = r"^\W*(?:\d+\W+)?(?:(?:please|bitte|veuillez|sorry)\W+)?"
 KINDS = {
@@ -105,6 +106,9 @@ def may_be_trusted(text: str | None) -> bool:
 
 
 _DIGIT = re.compile(r"[0-9]")
+#: A digit next to a letter, where words aren't what is between blanks and signs.
+_MIXED = re.compile(r"[0-9](?:(?=[a-z])|(?<=[a-z].))")
+_BLANKED = bytes(k if chr(k).isalnum() else 32 for k in range(128)) + bytes(128)
 _NUMBERS = [f"#{n}" for n in range(8)]
 _NUMBER_WORDS = frozenset(_NUMBERS)
 #: The usual words of filler.
@@ -169,14 +173,19 @@ def _parts(text: str | None) -> tuple[list[tuple[bool, list[str], float]], list[
     sentences = []
     last = len(lines) - 1
     for k, line in enumerate(lines):
-        split = _SENTENCE.split(line.lower())
-        place = ("own line" if len(split) == 1 else "in line", *(("last line",) if k == last else ()))
-        for sentence in split:
-            words = _WORD.findall(sentence)
-            if _DIGIT.search(sentence):
-                words = [w if w[0] not in "0123456789" else _NUMBERS[min(len(w), 7)] for w in words]
-            if words and not _NUMBER_WORDS.issuperset(words):
-                sentences.append((sentence, words, place))
+        line = line.lower()
+        ends = [m.span() for m in _SENTENCE.finditer(line)]
+        place = ("own line" if not ends else "in line", *(("last line",) if k == last else ()))
+        digits = _DIGIT.search(line) is not None
+        plain = line.isascii() and not (digits and _MIXED.search(line))
+        blanked = line.encode().translate(_BLANKED).decode() if plain else ""
+        at = 0
+        for mark, end in (*ends, (len(line), 0)):
+            words = blanked[at : mark + 1].split() if plain else _WORD.findall(line, at, mark + 1)
+            # Of all that words begin with, only digits come before letters.
+            if words and not (digits and min(words) < "a" and _NUMBER_WORDS.issuperset(words := [w if w >= "a" else _NUMBERS[min(len(w), 7)] for w in words])):
+                sentences.append((line[at : mark + 1], words, place))
+            at = end
     size = f"text {min(4, (len(fields) + len(sentences)).bit_length() - 1)}"
     return fields, [(sentence, words, (*place, size)) for sentence, words, place in sentences]
 
@@ -193,7 +202,7 @@ def passages(text: str | None, trusted: re.Pattern[str] = _TRUSTED) -> list[tupl
     out = list(fields)
     for sentence, words, place in sentences:
         features, scale = _features(words, place)
-        out.append((bool(trusted.search(sentence)) or _filler(words), list(features), scale))
+        out.append(((may_be_trusted(sentence) and bool(trusted.search(sentence))) or _filler(words), list(features), scale))
     return out
 
 
@@ -213,46 +222,56 @@ _TRAINING = "doc_id long, trusted boolean, features array<string>, scale double"
 
 
 class _Most(dict):
-    """What a word, its beginning and the pair that it begins can add to the log odds at most."""
+    """What words add to the log odds, by their place in the arrays: a word, its beginning, and at most a pair by its first word and by its second.
+
+    Words that no feature has are at the place of their beginning, or at 0.
+    """
 
     def __init__(self, weights: dict[str, float]) -> None:
-        self.weights = weights
-        self.pairs: dict[str, float] = {}
+        first: dict[str, float] = {}
+        second: dict[str, float] = {}
         for f, w in weights.items():
-            first, _, second = f.partition(" ")
-            if second and w > 0:
-                self.pairs[first] = max(self.pairs.get(first, 0.0), w)
-
-    def __missing__(self, word: str) -> float:
+            a, _, b = f.partition(" ")
+            if b and w > 0:
+                first[a] = max(first.get(a, 0.0), w)
+                second[b] = max(second.get(b, 0.0), w)
+        known = [f for f in {*weights, *first, *second} if " " not in f]
+        self.places = {f: k for k, f in enumerate(known, 1)}
+        begun = lambda f: f if f[0] == "^" else "^" + f[:STEM] if len(f) > STEM else ""
+        self.word = np.array([0.0, *(weights.get(f, 0.0) if f[0] != "^" else 0.0 for f in known)])
+        self.beginning = np.array([0, *(self.places.get(begun(f), 0) for f in known)])
+        self.begun = np.array([0.0, *(weights.get(f, 0.0) if f[0] == "^" else 0.0 for f in known)])
+        self.first, self.second = (np.array([0.0, *map(side.get, known, _ZEROS)]) for side in (first, second))
+
+    def __missing__(self, word: str) -> int:
         if len(self) > KEPT_WORDS:
             self.clear()
-        get = self.weights.get
-        most = max(get(word, 0.0), 0.0) + self.pairs.get(word, 0.0) + (max(get("^" + word[:STEM], 0.0), 0.0) if len(word) > STEM else 0.0)
-        self[word] = most
-        return most
+        place = self.places.get(word)
+        if place is None:
+            place = self.places.get("^" + word[:STEM], 0) if len(word) > STEM else 0
+        self[word] = place
+        return place
+
+    def sums(self, sentences: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Of sentences, the number of words of each, and what these and their beginnings add, each once, with the best pairs by both of their words."""
+        many = np.fromiter(map(len, sentences), np.int64, len(sentences))
+        ends = np.cumsum(many)
+        at = np.fromiter(map(self.__getitem__, itertools.chain.from_iterable(sentences)), np.int64, int(ends[-1]))
+        paired = np.zeros(len(at))
+        np.minimum(self.first.take(at[:-1]), self.second.take(at[1:]), out=paired[:-1])
+        paired[ends - 1] = 0.0
+        total = np.add.reduceat(paired, ends - many)
+        sentence = np.repeat(np.arange(len(many)) << 32, many)
+        for places, weights in ((at, self.word), (self.beginning.take(at), self.begun)):
+            each = np.sort(sentence | places)
+            each = each[np.concatenate([[True], each[1:] != each[:-1]])]
+            total += np.bincount(each >> 32, weights.take(each & 0xFFFFFFFF), len(many))
+        return many, total
 
 
 _ZEROS = itertools.repeat(0.0)
 
 
-class _Pairs:
-    """What pairs can add to the log odds at most, by their first word and by their second."""
-
-    def __init__(self, weights: dict[str, float]) -> None:
-        self.first: dict[str, float] = {}
-        self.second: dict[str, float] = {}
-        for f, w in weights.items():
-            a, _, b = f.partition(" ")
-            if b and w > 0:
-                self.first[a] = max(self.first.get(a, 0.0), w)
-                self.second[b] = max(self.second.get(b, 0.0), w)
-
-    def most(self, words: list[str]) -> tuple[float, float]:
-        """What the pairs of a sentence can add by both of their words, and by the first ones alone."""
-        first = [*map(self.first.get, words, _ZEROS)]
-        return sum(map(min, first, map(self.second.get, words[1:], _ZEROS))), sum(first)
-
-
 class Model:
     """Log odds of residue by feature, and before any feature is seen."""
 
@@ -263,10 +282,6 @@ class Model:
     def most(self) -> _Most:
         return _Most(self.weights)
 
-    @functools.cached_property
-    def pairs(self) -> _Pairs:
-        return _Pairs(self.weights)
-
     def score(self, features: set[str] | list[str], scale: float) -> float:
         get = self.weights.get
         return self.prior + scale * sum([get(f, 0.0) for f in features])
@@ -275,18 +290,14 @@ class Model:
         """The number of a text's passages, and the log odds of those that are residue or might be."""
         fields, sentences = _parts(text)
         out = [self.score(f, scale) for _, f, scale in fields]
-        most, pairs, get, prior = self.most.__getitem__, self.pairs.most, self.weights.get, self.prior - THRESHOLD
-        for _, words, place in sentences:
-            n = len(words)
-            scale, placed = STEMMED * n / (2 * n - 1), sum([get(p, 0.0) for p in place])
-            # A sentence that couldn't be residue even with the best pairs doesn't need its pairs.
-            bound = sum(map(most, words)) + placed
-            if prior + scale * bound > 0:
-                paired, begun = pairs(words)
-                if prior + scale * (bound - begun + paired) > -ROUNDED:
-                    single = sum([get(f, 0.0) for f in {*words, *[f"^{w[:STEM]}" for w in words if len(w) > STEM]}])
-                    if prior + scale * (single + placed + paired) > -ROUNDED:
-                        out.append(self.score(*_features(words, place)))
+        if not sentences:
+            return len(fields), out
+        # A sentence that couldn't be residue even with the best pairs doesn't need its pairs.
+        get = self.weights.get
+        placed = [sum([get(p, 0.0) for p in place]) for _, _, place in sentences]
+        many, most = self.most.sums([words for _, words, _ in sentences])
+        for k in np.flatnonzero(self.prior - THRESHOLD + STEMMED * many / (2 * many - 1) * (most + placed) > -ROUNDED).tolist():
+            out.append(self.score(*_features(*sentences[k][1:])))
         return len(fields) + len(sentences), out
 
 
@@ -332,9 +343,13 @@ def fit(documents: DataFrame, most_unlabelled: int = MOST_UNLABELLED, most_trust
 
 
 def _coded(batches: Iterator[pa.RecordBatch], places: dict[str, int]) -> Iterator[pa.RecordBatch]:
+    kept, codes_of = pa.array(list(places), pa.string()), np.array(list(places.values()), np.int32)
     for batch in batches:
-        codes = [[places[f] for f in features if f in places] for features in batch.column("features").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("trusted"), batch.column("scale"), batch.column("weight"), pa.array(codes, pa.list_(pa.int32()))], ["trusted", "scale", "weight", "codes"])
+        features = batch.column("features")
+        place = pc.index_in(features.flatten(), value_set=kept)
+        ends = np.concatenate([[0], np.cumsum(place.is_valid().to_numpy(zero_copy_only=False))])[features.offsets.to_numpy() - features.offsets[0].as_py()]
+        codes = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(codes_of[place.drop_null().to_numpy()], pa.int32()))
+        yield pa.RecordBatch.from_arrays([batch.column("trusted"), batch.column("scale"), batch.column("weight"), codes], ["trusted", "scale", "weight", "codes"])
 
 
 def _sums(coded: DataFrame, weights: np.ndarray | None, prior: float, width: int) -> tuple[float, np.ndarray]:

@@ -6,6 +6,7 @@ import unicodedata
 from datetime import datetime
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -437,3 +438,24 @@ def test_long_quotations_and_fields():
     for field in ("{{ %s }}", "{%% %s %%}", "<< %s >>", "[[ %s ]]"):
         fields, _ = residue._parts("Dear " + field % ("some name " * 12))
         assert [trusted for trusted, *_ in fields] == [True]
+
+
+def test_bounds_of_sentences_and_codes_of_features():
+    """What words and beginnings add, each once, and the best pairs; words of any text as the pattern has them; codes in the order of the features."""
+    rng, vocabulary = random.Random(31), ["alpha", "beta", "gammagamma", "gammagazette", "delta", "#2", "unknown", "unknownword"]
+    singles = {f: rng.uniform(-3, 3) for f in ("alpha", "beta", "gammagamma", "delta", "#2", "^gamma", "^unkno")}
+    pairs = {f"{a} {b}": rng.uniform(-3, 3) for a in vocabulary[:4] for b in vocabulary[:5]}
+    model = residue.Model(-1.0, singles | pairs)
+    sentences = [[rng.choice(vocabulary) for _ in range(rng.randrange(1, 9))] for _ in range(300)]
+    many, most = model.most.sums(sentences)
+    for words, n, bound in zip(sentences, many, most, strict=True):
+        first, second = ([max([0.0, *(w for f, w in pairs.items() if f.split(" ")[side] == word)]) for word in words] for side in (0, 1))
+        want = sum(singles.get(f, 0.0) for f in {*words, *(f"^{w[:5]}" for w in words if len(w) > 5)}) + sum(map(min, first, second[1:]))
+        assert n == len(words) and bound == pytest.approx(want)
+    for line in ("Room a1 is 12b of 3.", "Größe 12 und x_y 7th.", "On 12 May 2020, 7 of 15.", "plain words; only_here"):
+        want = [w if w[0] not in "0123456789" else f"#{min(len(w), 7)}" for w in re.findall(r"[^\W\d_]+|\d+", line.lower())]
+        assert [w for _, words, _ in residue._parts(line)[1] for w in words] == want
+    features = [["b", "x", "a"], [], ["x"], ["a"]]
+    batch = pa.RecordBatch.from_arrays([pa.array([True] * 4), pa.array([1.0] * 4), pa.array([1.0] * 4), pa.array(features, pa.list_(pa.string()))], ["trusted", "scale", "weight", "features"])
+    for part, codes in ((batch, [[1, 0], [], [], [0]]), (batch.slice(1, 3), [[], [], [0]])):
+        assert next(iter(residue._coded(iter([part]), {"a": 0, "b": 1}))).column("codes").to_pylist() == codes
