@@ -135,6 +135,18 @@ def test_signatures_in_parts(monkeypatch):
     assert not near_duplicates._signature(codes[:, : gram - 1]).any() and near_duplicates._signature(codes[:0]).shape == (0, 4**gram // 64)
 
 
+def test_signatures_of_halves_bound_the_edits():
+    """Half the words as before, and never more places differ than the edits allow, however far the middle of a text has moved."""
+    rng, gram = random.Random(17), near_duplicates.GRAM
+    for k in range(200):
+        a = "".join(rng.choice("ACGT") for _ in range(120))
+        b = mutated(rng, a, rng.randrange(12)) if k % 2 else a[(cut := rng.randrange(1, 12)) :] + "".join(rng.choice("ACGT") for _ in range(rng.randrange(12))) + a[:cut] * (k % 4 == 0)
+        codes = [encode(np.frombuffer(x.encode(), np.uint8))[None, :] for x in (a, b)]
+        x, y = (near_duplicates._halves(c, 60) for c in codes)
+        assert x.shape == (1, 2 * 4**gram // 64) and x.shape[1] <= 32
+        assert np.bitwise_count(x ^ y).sum() <= 2 * gram * edit_distance(a, b) + abs(len(a) - len(b))
+
+
 def test_search_by_blocks_finds_the_same_pairs():
     rng = np.random.default_rng(2)
     window = rng.integers(0, 40, 500).astype(np.uint64) * np.uint64(5)
