@@ -120,6 +120,20 @@ def test_no_pair_at_the_threshold_is_left_out(spark, monkeypatch):
     assert {tuple(r) for r in some.similar_uids().collect()} < truth
 
 
+def test_compiled_search_finds_what_numpy_finds(spark, monkeypatch):
+    """Pairs at the threshold, with uncalled bases and texts of all lengths, by the compiled search and by that in numpy."""
+    rng, rows = random.Random(31), []
+    for k in range(40):
+        v = "".join(rng.choice("ACGTN" if k % 9 == 0 else "ACGT") for _ in range(rng.choice([130, 255, 600])))
+        rows += [(len(rows) + e, mutated(rng, v, edits), None, "ACGGTCA", "", 1, "") for e, edits in enumerate((0, len(v) // 10, len(v) // 12))]
+    assert near_duplicates._pieces(spark) is not None
+    links = []
+    for _ in range(2):
+        links.append({tuple(r) for r in NearDuplicates(spark.createDataFrame(rows, STRINGS), "uid", ["v", "d", "j"]).links.collect()})
+        monkeypatch.setattr(near_duplicates, "_pieces", lambda spark: None)
+    assert links[0] == links[1] and len(links[0]) > 40
+
+
 def test_signatures_in_parts(monkeypatch):
     """A bit for each run of called bases, however many texts are worked on at a time; of texts shorter than a run, none."""
     gram = near_duplicates.GRAM
